@@ -148,7 +148,8 @@ joined AS (SELECT analysis_period_days, overall_drift_rate, total_drift_events,
     reference_data_records, recent_predictions_24h,
     (SELECT string_agg(feature_name || ': ' || drift_count || ' events', '; ' ORDER BY drift_count DESC, feature_name)
       FROM top) AS top_drifted_features, {ADVICE_SQL} AS recommendations FROM rate, health)
-SELECT *, CAST(len(string_split(recommendations, '; ')) AS INTEGER) AS recommendations_count FROM joined""")
+SELECT *, CASE WHEN recommendations = '' THEN 0 ELSE CAST(len(string_split(recommendations, '; ')) AS INTEGER) END
+  AS recommendations_count FROM joined""")
 def monitor_report(spark, sf):
     log = drift_log(spark, sf)
     return ops.monitor_report(ops.drift_rate(log, at(EVENTS_AS_OF)), _health(spark, sf),

@@ -137,8 +137,7 @@ def corr_sql(source: str, rows: str, columns: list[str], pick) -> str:
     cells = [(a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if pick(i, j)]
     return " UNION ALL ".join(
         f"SELECT '{source}' AS source, '{a}' AS feature_1, '{b}' AS feature_2, "
-        f"{'CAST(1.0 AS DOUBLE)' if a == b else f'corr({a}, {b})'} AS correlation FROM {rows}"
-        + (f" GROUP BY ALL" if a == b else "")
+        f"{f'CASE WHEN count({a}) > 0 THEN CAST(1.0 AS DOUBLE) END' if a == b else f'corr({a}, {b})'} AS correlation FROM {rows}"
         for a, b in cells)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.functions.calendar import SEASONS, TEMPORAL_COLUMNS
-from watthour.functions.stats import rounded
 from watthour.operators.dataset import forecast_dataset
 from watthour.operators.features import SAME_HOUR, target_names
 from watthour.operators.forecast import naive_predictions
@@ -89,13 +88,15 @@ def at(moment: str):
 
 
 def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
-    """Round every double, so that both engines print the same number."""
+    """Round every double (and turn -0.0 into 0.0), so that both engines print the same number."""
     digits = digits or {}
-    return df.select(*[
-        rounded(F.col(f.name), digits.get(f.name, 6)).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-        for f in df.schema.fields
-    ])
+
+    def short(name: str) -> str:
+        x = f"round(`{name}`, {digits.get(name, 6)})"
+        return f"CASE WHEN {x} = 0 THEN 0D ELSE {x} END AS `{name}`"
+
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(*[short(c) if isinstance(t, T.DoubleType) else f"`{c}`" for c, t in kinds.items()])
 
 
 # --- SQL --------------------------------------------------------------------

@@ -11,12 +11,6 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
-def rounded(column: Column, digits: int = 6) -> Column:
-    """Round and turn -0.0 into 0.0, so equal results also print equally."""
-    short = F.round(column, digits)
-    return F.when(short == 0, F.lit(0.0)).otherwise(short)
-
-
 def adjusted_skewness(n: Column, m2: Column, m3: Column) -> Column:
     """Bias-adjusted skewness from central moments (averages); constant data gives 0."""
     n = n.cast("double")

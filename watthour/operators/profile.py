@@ -42,7 +42,7 @@ def _tally(long: DataFrame) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count("*").alias("c"))
 
 
-def _base(tally: DataFrame) -> DataFrame:
+def _base(tally: DataFrame, **extra: Column) -> DataFrame:
     """Fields every type has; a column without values gets the fixed empty template."""
     here = F.col("value").isNotNull()
     commonest = F.min(F.when(here, F.struct((-F.col("c")).alias("n"), F.col("value").alias("v"))))
@@ -51,6 +51,7 @@ def _base(tally: DataFrame) -> DataFrame:
         F.sum(F.when(here, 0).otherwise(F.col("c"))).alias("_missing"),
         F.count_if(here).alias("unique_values"),
         commonest.alias("_mode"),
+        *[c.alias(name) for name, c in extra.items()],
     )
     some = F.col("count") > 0
     return raw.select(
@@ -60,57 +61,51 @@ def _base(tally: DataFrame) -> DataFrame:
         "unique_values",
         (F.col("unique_values") <= 1).alias("is_constant"),
         F.col("_mode.v").alias("mode"),
+        *extra,
     )
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric or boolean column with the full set of statistics."""
     columns = list(columns or numeric_columns(df))
-    as_numbers = df.select(*[
-        (F.col(c).cast("int") if isinstance(df.schema[c].dataType, T.BooleanType) else F.col(c)).alias(c)
-        for c in columns
-    ])
-    tally = _tally(to_long(as_numbers, columns))
+    flags = {c for c in columns if isinstance(df.schema[c].dataType, T.BooleanType)}
+    numbers = df.select(*[(F.col(c).cast("int") if c in flags else F.col(c)).alias(c) for c in columns])
+    long = to_long(numbers, columns)
+    tally = _tally(long)
     v, c = F.col("value"), F.col("c")
-    mean = tally.groupBy("feature").agg(
-        (F.try_divide(F.sum(v * c), F.sum(F.when(v.isNotNull(), c)))).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_percentiles(tally, ["feature"], "value", QUARTILES, weight="c")
-    head = (
-        _base(tally).join(F.broadcast(mean), "feature")
-        .join(F.broadcast(quartiles), "feature", "left")
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
+    base = _base(
+        tally,
+        mean=F.try_divide(F.sum(v * c), F.sum(F.when(v.isNotNull(), c))),
+        min=F.min("value"), max=F.max("value"),
     )
+    quartiles = exact_percentiles(long, ["feature"], "value", QUARTILES)
+    head = base.join(F.broadcast(quartiles), "feature", "left").withColumn("iqr", F.col("q3") - F.col("q1"))
     off = v - F.col("mean")
     outside = (v < F.col("q1") - FENCE * F.col("iqr")) | (v > F.col("q3") + FENCE * F.col("iqr"))
     spread = (
-        tally.join(F.broadcast(head.select("feature", "mean", "q1", "q3", "iqr")), "feature")
+        tally.join(F.broadcast(head), "feature")
         .groupBy("feature")
         .agg(
             F.sum(off * off * c).alias("_s2"),
             F.sum(F.pow(off, 3) * c).alias("_s3"),
             F.sum(F.pow(off, 4) * c).alias("_s4"),
             F.sum(F.when(outside, c).otherwise(0)).alias("outlier_count"),
+            *[F.first(name).alias(name) for name in head.columns if name != "feature"],
         )
     )
     n = F.col("count")
     variance = F.try_divide(F.col("_s2"), n - 1)
     m2, m3, m4 = (F.try_divide(F.col(s), n) for s in ("_s2", "_s3", "_s4"))
-    return (
-        head.join(F.broadcast(spread), "feature")
-        .withColumns({
-            "dtype": F.when(n > 0, _dtype(df, columns)).otherwise("unknown"),
-            "variance": variance,
-            "std": F.sqrt(variance),
-            "range": F.col("max") - F.col("min"),
-            "skewness": adjusted_skewness(n, m2, m3),
-            "kurtosis": adjusted_kurtosis(n, m2, m4),
-            "outlier_percentage": F.coalesce(percent(F.col("outlier_count"), n), F.lit(0.0)),
-        })
-        .select("feature", "dtype", "count", "missing_count", "missing_percentage", "unique_values",
-                "is_constant", "mode", *NUMERIC_FIELDS, "outlier_count", "outlier_percentage")
-    )
+    return spread.withColumns({
+        "dtype": F.when(n > 0, _dtype(df, columns)).otherwise("unknown"),
+        "variance": variance,
+        "std": F.sqrt(variance),
+        "range": F.col("max") - F.col("min"),
+        "skewness": adjusted_skewness(n, m2, m3),
+        "kurtosis": adjusted_kurtosis(n, m2, m4),
+        "outlier_percentage": F.coalesce(percent(F.col("outlier_count"), n), F.lit(0.0)),
+    }).select("feature", "dtype", "count", "missing_count", "missing_percentage", "unique_values",
+              "is_constant", "mode", *NUMERIC_FIELDS, "outlier_count", "outlier_percentage")
 
 
 def profile_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -146,17 +141,15 @@ def feature_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max per column; shuffles only partial results."""
-    long = to_long(df, columns)
-    plain = long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_percentiles(long, ["feature"], "value", QUARTILES)
-    return plain.join(F.broadcast(quartiles), "feature", "left").select(
-        "feature", "count", "mean", "std", "min",
-        F.col("q1").alias("p25"), F.col("median").alias("p50"), F.col("q3").alias("p75"), "max",
+    """count, mean, std, min, quartiles, max per column, from two passes over the rows."""
+    facts = exact_percentiles(
+        to_long(df, columns), ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75},
+        also={"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+              "min": F.min("value"), "max": F.max("value")},
     )
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    return names.join(facts, "feature", "left").select(
+        "feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -216,15 +209,14 @@ def _with_horizon(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 def target_stats(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """All horizons taken together; population deviation."""
-    long = _with_horizon(df, targets).withColumn("_all", F.lit(0))
-    plain = long.groupBy("_all").agg(
-        F.count("*").alias("total_predictions"), F.count("value").alias("valid_predictions"),
-        F.avg("value").alias("overall_mean"), F.stddev_pop("value").alias("overall_std"),
-        F.min("value").alias("overall_min"), F.max("value").alias("overall_max"),
+    facts = exact_percentiles(
+        _with_horizon(df, targets).withColumn("_all", F.lit(0)), ["_all"], "value", {"overall_median": 0.5},
+        also={"total_predictions": F.count("*"), "valid_predictions": F.count("value"),
+              "overall_mean": F.avg("value"), "overall_std": F.stddev_pop("value"),
+              "overall_min": F.min("value"), "overall_max": F.max("value")},
     )
-    middle = exact_percentiles(long, ["_all"], "value", {"overall_median": 0.5})
-    return plain.join(F.broadcast(middle), "_all", "left").select(
-        (F.col("total_predictions") / len(targets)).cast("long").alias("total_samples"),
+    return facts.select(
+        F.expr(f"total_predictions div {len(targets)}").alias("total_samples"),
         F.lit(len(targets)).alias("forecast_horizons"),
         "total_predictions", "valid_predictions",
         (F.col("total_predictions") - F.col("valid_predictions")).alias("missing_predictions"),
@@ -234,13 +226,11 @@ def target_stats(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 def target_stats_by_horizon(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Per horizon, sample deviation; horizons without a value are left out."""
-    long = _with_horizon(df, targets).where(F.col("value").isNotNull())
-    plain = long.groupBy("horizon").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
+    return exact_percentiles(
+        _with_horizon(df, targets), ["horizon"], "value", {"median": 0.5},
+        also={"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"),
+              "min": F.min("value"), "max": F.max("value")},
     )
-    middle = exact_percentiles(long, ["horizon"], "value", {"median": 0.5})
-    return plain.join(F.broadcast(middle), "horizon")
 
 
 def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:

@@ -1,87 +1,98 @@
 """Exact percentiles without sorting a group in one task.
 
-Values fall into equal-width bins between a group's minimum and maximum; bin counts
-tell which bins hold the wanted ranks, those bins are cut again, and only the values of
-the last few bins are sorted.  Rows are read once per level, but only bin counts and
-the final bins are shuffled, however skewed the groups are.  Binning never reverses the
-order of two values, so the result is exact for any distribution.
+A sketch gives, for each wanted percentile, two values that are sure to enclose it.
+Rows between those brackets are only counted; the few inside one are tallied by value
+and cut into equal-width slots, and only the slots that hold the wanted ranks are
+sorted.  The rows are read twice, and what is shuffled is the bracket contents, whatever
+the distribution of values or the size of a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    share = F.try_divide(value - lo, hi - lo)
-    return F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)).cast("long")
+SKETCH_ACCURACY = 10_000
+# the sketch is off by at most 1/accuracy of the rows in rank; brackets allow three times that
+SLACK = 3 / SKETCH_ACCURACY
+SLOTS = 1024
 
 
 def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                      weight: str | None = None, bins: int = 1024, levels: int = 2) -> DataFrame:
+                      also: dict[str, Column] | None = None) -> DataFrame:
     """Linear-interpolated percentiles per group, one column per entry of ``probs``.
 
     ``by`` must name columns with few values, such as a feature name or a horizon: the
-    table of group ranges is broadcast.  ``weight`` is a repeat count per row.
+    table of brackets is broadcast.  ``also`` adds numeric aggregates to the sketch's
+    pass over the rows.  Groups without a value are absent.
     """
-    data = rows.where(F.col(value).isNotNull()).select(
-        *by,
-        F.lit(0).cast("long").alias("_cell"),
-        F.col(value).cast("double").alias("_v"),
-        (F.col(weight) if weight else F.lit(1)).cast("long").alias("_c"),
+    also = also or {}
+    wanted = list(enumerate(probs.values()))
+    data = rows.withColumn("_v", F.col(value).cast("double"))
+    marks = [m for _, p in wanted for m in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))]
+    sketch = data.groupBy(*by).agg(
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_marks"),
+        *[c.alias(name) for name, c in also.items()],
+    ).select(
+        *by, *also,
+        *[(F.col("_min") if p <= SLACK else F.col("_marks")[2 * i]).alias(f"_lo{i}") for i, p in wanted],
+        *[(F.col("_max") if p >= 1 - SLACK else F.col("_marks")[2 * i + 1]).alias(f"_hi{i}") for i, p in wanted],
     )
-    key = [*by, "_cell"]
-    size = data.groupBy(*by).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n")
+    v = F.col("_v")
+    inside = [v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i, _ in wanted]
+    # rises with v and is the same for two values only if no bracket edge lies between them
+    zone = sum(((v >= F.col(f"_lo{i}")).cast("int") + (v > F.col(f"_hi{i}")).cast("int") for i, _ in wanted), F.lit(0))
+
+    def slot(i: int) -> Column:
+        share = F.try_divide(v - F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+        return F.coalesce(F.least(F.floor(share * SLOTS).cast("int"), F.lit(SLOTS - 1)), F.lit(0))
+
+    near = data.select(*by, "_v").where(v.isNotNull()).join(F.broadcast(sketch), list(by)).select(
+        *by, *also, zone.alias("_zone"),
+        F.coalesce(*[F.when(inside[i], slot(i)) for i, _ in wanted], F.lit(-1)).alias("_slot"),
+        F.when(reduce(or_, inside), v).alias("_v"),
     )
+    tally = near.groupBy(*by, "_zone", "_slot", "_v").agg(
+        F.count("*").alias("_c"), *[F.max(name).alias(name) for name in also])
+
+    counts = tally.groupBy(*by, "_zone", "_slot").agg(F.sum("_c").alias("_in"))
+    group = Window.partitionBy(*by)
+    total = F.sum("_in").over(group)
+    upto = F.sum("_in").over(group.orderBy("_zone", "_slot"))
+
+    def rank(p: float) -> Column:
+        return F.floor(F.lit(p) * (F.col("_n") - 1)).cast("long")
 
-    def rank_of(p: float, up: int) -> Column:
-        return F.least(F.floor(F.lit(p) * (F.col("_n") - 1)) + up, F.col("_n") - 1).cast("long")
-
-    ranks = F.array_distinct(F.array(*[rank_of(p, up) for p in probs.values() for up in (0, 1)]))
-    cells = size.select(*by, F.lit(0).cast("long").alias("_cell"), "_lo", "_hi",
-                        F.lit(0).cast("long").alias("_below"), ranks.alias("_ranks"))
-
-    inside = data
-    for _ in range(levels):
-        cut = (F.col("_cell") * bins + _bin(F.col("_v"), F.col("_lo"), F.col("_hi"), bins)).alias("_cell")
-        inside = inside.join(F.broadcast(cells), key).select(*by, cut, "_v", "_c")
-        counts = inside.groupBy(*key).agg(
-            F.sum("_c").alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-        ).withColumn("_parent", F.floor(F.col("_cell") / bins))
-        parents = cells.select(*by, F.col("_cell").alias("_parent"), F.col("_below").alias("_base"), "_ranks")
-        running = Window.partitionBy(*by, "_parent").orderBy("_cell")
-        before = F.sum("_in").over(running) - F.col("_in")
-        placed = counts.withColumn("_before", before).join(F.broadcast(parents), [*by, "_parent"])
-        start = F.col("_base") + F.col("_before")
-        cells = placed.select(
-            *key, "_lo", "_hi", start.alias("_below"),
-            F.filter("_ranks", lambda k: (k >= F.col("_base") + F.col("_before"))
-                     & (k < F.col("_base") + F.col("_before") + F.col("_in"))).alias("_ranks"),
-        ).where(F.size("_ranks") > 0)
-
-    last = inside.join(F.broadcast(cells.select(*key, "_below", "_ranks")), key)
-    steps = last.groupBy(*key, "_v").agg(
-        F.sum("_c").alias("_c"), F.first("_below").alias("_below"), F.first("_ranks").alias("_ranks")
+    def top(p: float) -> Column:
+        return F.least(rank(p) + 1, F.col("_n") - 1)
+
+    holds = [(F.col("_start") <= top(p)) & (F.col("_start") + F.col("_in") > rank(p)) for _, p in wanted]
+    holding = (
+        counts.withColumns({"_n": total, "_start": upto - F.col("_in")})
+        .where(reduce(or_, holds))
+        .select(*by, "_zone", "_slot", "_n", "_start")
     )
-    upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*key).orderBy("_v"))
-    found = steps.withColumn("_upto", upto).select(
-        *by, "_v", F.explode(F.filter(
-            "_ranks", lambda k: (k >= F.col("_upto") - F.col("_c")) & (k < F.col("_upto")))).alias("_rank")
+    last = tally.join(F.broadcast(holding), [*by, "_zone", "_slot"])
+    within = Window.partitionBy(*by, "_zone", "_slot").orderBy("_v")
+    placed = last.withColumn("_upto", F.col("_start") + F.sum("_c").over(within))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("_upto") > place) & (F.col("_upto") - F.col("_c") <= place), v))
+
+    ends = placed.groupBy(*by).agg(
+        F.max("_n").alias("_n"), *[F.max(name).alias(name) for name in also],
+        *[at(rank(p)).alias(f"_low{i}") for i, p in wanted], *[at(top(p)).alias(f"_high{i}") for i, p in wanted],
     )
-    at = found.join(F.broadcast(size.select(*by, "_n")), list(by))
-    picks = [
-        F.max(F.when(F.col("_rank") == rank_of(p, up), F.col("_v"))).alias(f"_{name}_{up}")
-        for name, p in probs.items() for up in (0, 1)
-    ]
-    ends = at.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
-
-    def between(name: str, p: float) -> Column:
+
+    def between(i: int, p: float) -> Column:
         place = F.lit(p) * (F.col("_n") - 1)
-        low, high = F.col(f"_{name}_0"), F.col(f"_{name}_1")
-        return (low + (high - low) * (place - F.floor(place))).alias(name)
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        exact = low + (high - low) * (place - F.floor(place))
+        return F.coalesce(exact, F.raise_error(F.lit("percentile outside its bracket")).cast("double"))
 
-    return ends.select(*by, *[between(name, p) for name, p in probs.items()])
+    return ends.select(*by, *also, *[between(i, p).alias(name) for i, (name, p) in enumerate(probs.items())])
