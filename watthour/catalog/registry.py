@@ -87,25 +87,28 @@ def at(moment: str):
     return F.lit(moment).cast("timestamp_ntz")
 
 
-def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
-    """Round every double (and turn -0.0 into 0.0), so that both engines print the same number."""
-    digits = digits or {}
+def r(expression: str, digits: int = 6) -> str:
+    """SQL text, for both engines, of a rounded double.
 
-    def short(name: str) -> str:
-        x = f"round(`{name}`, {digits.get(name, 6)})"
-        return f"CASE WHEN {x} = 0 THEN 0D ELSE {x} END AS `{name}`"
+    Means of short decimals often end in an exact half, where the engines' last bits
+    decide; a nudge far below the last kept digit settles it.  -0.0 becomes 0.0.
+    """
+    short = f"round({expression} + {1.23 * 10 ** -(digits + 3):.3e}, {digits})"
+    return f"CASE WHEN {short} = 0 THEN CAST(0 AS DOUBLE) ELSE {short} END"
 
+
+def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
+    """Round every double, so that both engines print the same number."""
+    digits = digits or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.selectExpr(*[short(c) if isinstance(t, T.DoubleType) else f"`{c}`" for c, t in kinds.items()])
+    return df.selectExpr(*[
+        f"{r(f'`{c}`', digits.get(c, 6))} AS `{c}`" if isinstance(t, T.DoubleType) else f"`{c}`"
+        for c, t in kinds.items()
+    ])
 
 
 # --- SQL --------------------------------------------------------------------
 
-def r(expression: str, digits: int = 6) -> str:
-    short = f"round({expression}, {digits})"
-    return f"CASE WHEN {short} = 0 THEN CAST(0.0 AS DOUBLE) ELSE {short} END"
-
-
 def tidy_sql(inner: str, doubles: Sequence[str], digits: dict[str, int] | None = None, ctes: str = "") -> str:
     digits = digits or {}
     swaps = ", ".join(f"{r(c, digits.get(c, 6))} AS {c}" for c in doubles)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 # the sketch is off by at most 1/accuracy of the rows in rank; brackets allow three times that
 SLACK = 3 / SKETCH_ACCURACY
+# in smaller groups that is less than a few ranks, so the whole group is the bracket
+SMALL_GROUP = 2 * SKETCH_ACCURACY
 SLOTS = 1024
 
 
@@ -35,14 +37,15 @@ def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dic
     data = rows.withColumn("_v", F.col(value).cast("double"))
     marks = [m for _, p in wanted for m in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))]
     sketch = data.groupBy(*by).agg(
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.count("_v").alias("_size"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_marks"),
         *[c.alias(name) for name, c in also.items()],
-    ).select(
-        *by, *also,
-        *[(F.col("_min") if p <= SLACK else F.col("_marks")[2 * i]).alias(f"_lo{i}") for i, p in wanted],
-        *[(F.col("_max") if p >= 1 - SLACK else F.col("_marks")[2 * i + 1]).alias(f"_hi{i}") for i, p in wanted],
     )
+    small = F.col("_size") <= SMALL_GROUP
+    low = [F.when(small | F.lit(p <= SLACK), F.col("_min")).otherwise(F.col("_marks")[2 * i]) for i, p in wanted]
+    high = [F.when(small | F.lit(p >= 1 - SLACK), F.col("_max")).otherwise(F.col("_marks")[2 * i + 1]) for i, p in wanted]
+    sketch = sketch.select(
+        *by, *also, *[c.alias(f"_lo{i}") for i, c in enumerate(low)], *[c.alias(f"_hi{i}") for i, c in enumerate(high)])
     v = F.col("_v")
     inside = [v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i, _ in wanted]
     # rises with v and is the same for two values only if no bracket edge lies between them
