@@ -21,13 +21,15 @@ from watthour.schemas import TS, VALUE
 
 def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, models: dict,
                    ts: str = TS, value: str = VALUE, keys: Sequence[str] = (),
-                   scaled: bool = True) -> tuple[DataFrame, DataFrame]:
+                   scaled: bool = True, calendar_at: str = "noon") -> tuple[DataFrame, DataFrame]:
     """(features, forecasts) of fitted models at each midnight.
 
-    Features are scaled as in training unless ``scaled`` is false.  Rows whose history is
+    Features are scaled as in training unless ``scaled`` is false.  Training rows carry
+    the calendar of their own hour; ``calendar_at="anchor"`` does the same here.  Rows whose history is
     too short for some feature get no forecast.
     """
-    raw = midnight_features(hourly, start, end, ts, value, keys, fitted.lag_days, fitted.rolling_days)
+    raw = midnight_features(hourly, start, end, ts, value, keys, fitted.lag_days, fitted.rolling_days,
+                            calendar_at)
     ids = [*keys, "prediction_date", "anchor_ts"]
     features = align_columns(raw, fitted.features, ids)
     if scaled and fitted.params is not None:

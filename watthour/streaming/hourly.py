@@ -17,9 +17,11 @@ def hourly_mean_stream(readings: DataFrame, late: str = "2 hours", ts: str = TS,
                        keys: Sequence[str] = ()) -> DataFrame:
     """The batch aggregate on a stream: an hour is final once the watermark has passed it.
 
-    State holds one running sum per open hour and key.
+    State holds one running sum per open hour and key.  Watermarks exist for zoned
+    timestamps only, so the time is cast there and back.
     """
-    return hourly_mean(readings.withWatermark(ts, late), ts, value, keys)
+    zoned = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return hourly_mean(zoned, ts, value, keys).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
 
 
 def drift_stream(features: DataFrame, reference: DataFrame, path: str, dataset_name: str = "stream",
