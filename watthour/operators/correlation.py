@@ -13,43 +13,35 @@ from watthour.functions.stats import correlation, nan_to_null
 HIGH_CORRELATION = 0.8
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(ord_1, ord_2, feature_1, feature_2, correlation) for every pair in column order.
-
-    Each pair uses the rows where both are present.  All partial sums fit in one row
-    per task, so the only shuffle is that row.
-    """
+def _cells(df: DataFrame, columns: Sequence[str], full: bool) -> DataFrame:
+    """Cells of the matrix from one aggregate; all partial sums fit in one row per task,
+    so that row is all that is shuffled."""
     columns = list(columns)
     if len(columns) < 2:
         raise ValueError("correlation needs at least two numeric columns")
+    n = range(len(columns))
     values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"_x{i}") for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    one = values.agg(*[
-        correlation(F.col(f"_x{i}"), F.col(f"_x{j}")).alias(f"_r{i}_{j}") for i, j in pairs
-    ])
+    pairs = [correlation(F.col(f"_x{i}"), F.col(f"_x{j}")).alias(f"_r{i}_{j}") for i in n for j in n if i < j]
+    spread = [F.when(F.stddev_pop(f"_x{i}") > 0, 1.0).alias(f"_r{i}_{i}") for i in n] if full else []
     cells = F.array(*[
-        F.struct(
-            F.lit(i).alias("ord_1"), F.lit(j).alias("ord_2"),
-            F.lit(columns[i]).alias("feature_1"), F.lit(columns[j]).alias("feature_2"),
-            F.col(f"_r{i}_{j}").alias("correlation"),
-        ) for i, j in pairs
+        F.struct(F.lit(columns[i]).alias("feature_1"), F.lit(columns[j]).alias("feature_2"),
+                 F.col(f"_r{min(i, j)}_{max(i, j)}").alias("correlation"))
+        for i in n for j in n if full or i < j
     ])
-    return one.select(F.explode(cells).alias("p")).select("p.*")
+    return values.agg(*pairs, *spread).select(F.explode(cells).alias("p")).select("p.*")
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature_1, feature_2, correlation) for every pair, each in column order.
+
+    A pair uses the rows where both are present.
+    """
+    return _cells(df, columns, full=False)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every cell of the matrix, both halves and the diagonal, in long form."""
-    columns = list(columns)
-    pairs = correlation_pairs(df, columns)
-    upper = pairs.select("feature_1", "feature_2", "correlation")
-    lower = pairs.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
-    spread = df.agg(*[F.stddev_pop(nan_to_null(F.col(c).cast("double"))).alias(f"_s{i}") for i, c in enumerate(columns)])
-    diagonal = spread.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature_1"), F.lit(c).alias("feature_2"),
-                 F.when(F.col(f"_s{i}") > 0, 1.0).alias("correlation"))
-        for i, c in enumerate(columns)
-    ])).alias("p")).select("p.*")
-    return upper.unionByName(lower).unionByName(diagonal)
+    return _cells(df, columns, full=True)
 
 
 def high_pairs(pairs: DataFrame, threshold: float = HIGH_CORRELATION) -> DataFrame:

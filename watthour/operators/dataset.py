@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from watthour.functions.calendar import SEASONS, calendar_columns
 from watthour.operators.blocks import over_rows, with_positions
 from watthour.operators.features import (
-    HORIZON, LAG_DAYS, ROLLING_DAYS, SAME_HOUR, check_settings, lag_columns, reach, rolling_columns,
+    HORIZON, LAG_DAYS, ROLLING_DAYS, SAME_HOUR, check_settings, lag_columns, reach, rolling_stages,
     target_columns, target_names,
 )
 from watthour.schemas import TS, VALUE
@@ -35,12 +35,11 @@ def forecast_dataset(hourly: DataFrame, ts: str = TS, value: str = VALUE, keys:
     check_settings(horizon, lag_days, rolling_days)
     windowed = over_rows(
         hourly,
-        lambda w: {
+        *rolling_stages(value, rolling_days, beside=lambda w: {
             **lag_columns(w, value, lag_days),
-            **rolling_columns(w, value, rolling_days),
             **target_columns(w, value, horizon),
             **(extra(w) if extra else {}),
-        },
+        }),
         ts=ts, keys=keys, behind=reach(lag_days, rolling_days), ahead=horizon, block_rows=block_rows,
     )
     known = {*hourly.columns, *target_names(horizon)}

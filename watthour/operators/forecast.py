@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from watthour.functions.calendar import DAYLIGHT_HOURS, calendar_columns
 from watthour.functions.frames import join_on
-from watthour.operators.blocks import over_rows
+from watthour.operators.blocks import Stage, over_rows
 from watthour.operators.features import (
-    DAY, HORIZON, LAG_DAYS, ROLLING_DAYS, WEEK, check_settings, lag_columns, reach, rolling_columns,
+    DAY, HORIZON, LAG_DAYS, ROLLING_DAYS, WEEK, check_settings, lag_columns, reach, rolling_stages,
 )
 from watthour.schemas import TS, VALUE
 
@@ -30,7 +30,7 @@ def naive_predictions(window: WindowSpec, value: str = VALUE, horizon: int = HOR
     return [at(h) for h in range(1, horizon + 1)]
 
 
-def at_midnights(hourly: DataFrame, build: Callable[[WindowSpec], dict[str, Column]], start: date, end: date, *,
+def at_midnights(hourly: DataFrame, stages: Sequence[Stage], start: date, end: date, *,
                  ts: str = TS, keys: Sequence[str] = (), behind: int = 0,
                  block_rows: int | None = None) -> DataFrame:
     """The last row before each midnight from ``start`` to ``end``, with columns over its past.
@@ -39,7 +39,7 @@ def at_midnights(hourly: DataFrame, build: Callable[[WindowSpec], dict[str, Colu
     once for each and no as-of join is needed.  Dates without history give no row.
     """
     rows = over_rows(
-        hourly, lambda w: {**build(w), "_next": F.lead(ts).over(w)},
+        hourly, *stages, lambda w: {"_next": F.lead(ts).over(w)},
         ts=ts, keys=keys, behind=behind, ahead=1, block_rows=block_rows,
     )
     first = F.greatest(F.date_add(F.to_date(ts), 1), F.lit(start))
@@ -59,7 +59,7 @@ def midnight_features(hourly: DataFrame, start: date, end: date, ts: str = TS, v
         raise ValueError("calendar_at must be 'noon' or 'anchor'")
     rows = at_midnights(
         hourly,
-        lambda w: {**lag_columns(w, value, lag_days), **rolling_columns(w, value, rolling_days)},
+        rolling_stages(value, rolling_days, lambda w: lag_columns(w, value, lag_days)),
         start, end, ts=ts, keys=keys, behind=reach(lag_days, rolling_days), block_rows=block_rows,
     )
     noon = F.col("prediction_date").cast("timestamp_ntz") + F.expr(f"INTERVAL {NOON} HOURS")
@@ -84,7 +84,7 @@ def naive_forecast(hourly: DataFrame, start: date, end: date, ts: str = TS, valu
                    block_rows: int | None = None) -> DataFrame:
     """Seasonal-naive forecast arrays made at each midnight."""
     rows = at_midnights(
-        hourly, lambda w: {"forecast_24h": F.array(*naive_predictions(w, value, horizon, season))},
+        hourly, [lambda w: {"forecast_24h": F.array(*naive_predictions(w, value, horizon, season))}],
         start, end, ts=ts, keys=keys, behind=max(season, WEEK), block_rows=block_rows,
     )
     return rows.select(*keys, "prediction_date", F.col(ts).alias("anchor_ts"), "forecast_24h")

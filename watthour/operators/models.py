@@ -17,6 +17,7 @@ from watthour.schemas import TS
 from watthour.session import ensure_checkpoint_dir
 
 SEED = 42
+PARTITION_ROWS = 20_000
 # fixed values: production settings of the model
 GBT_SETTINGS = {"trees": 50, "depth": 4, "rate": 0.1, "rows": 0.8, "columns": 0.8}
 # fixed values: the three settings that are searched
@@ -53,7 +54,9 @@ def fit_horizons(train: DataFrame, features: Sequence[str], targets: dict[int, s
     rows = with_vector(train, features).select("_features", *targets.values())
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = _in_threads(lambda h: regressor(targets[h], settings).fit(rows), targets, threads, spark)
+        # every tree level is a job over all partitions: few rows want few partitions
+        compact = rows.coalesce(rows.count() // PARTITION_ROWS + 1)
+        fitted = _in_threads(lambda h: regressor(targets[h], settings).fit(compact), targets, threads, spark)
     finally:
         rows.unpersist()
     return dict(zip(targets, fitted))
@@ -109,7 +112,7 @@ def grid_search(dataset: DataFrame, features: Sequence[str], targets: dict[int,
 
     try:
         tasks = [(k, i) for k in range(1, splits + 1) for i in range(len(grid))]
-        done = [r for r in map(run, tasks) if r is not None]
+        done = [r for r in _in_threads(run, tasks, threads, dataset.sparkSession) if r is not None]
     finally:
         folds.unpersist()
     if not done:

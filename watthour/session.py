@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM leaves methods above 8000 bytes uncompiled.  Rows of some 60 columns get
+    # there in one fused stage and then run four times slower than unfused operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

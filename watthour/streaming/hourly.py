@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from watthour.functions.stats import nan_to_null
 from watthour.operators.drift import DRIFT_THRESHOLD, detect_drift, drift_log_rows
-from watthour.operators.hourly import hourly_mean
 from watthour.schemas import TS, VALUE
 
 
@@ -21,7 +21,10 @@ def hourly_mean_stream(readings: DataFrame, late: str = "2 hours", ts: str = TS,
     timestamps only, so the time is cast there and back.
     """
     zoned = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    return hourly_mean(zoned, ts, value, keys).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    hour = F.window(ts, "1 hour").alias("_hour")
+    means = zoned.groupBy(*keys, hour).agg(F.avg(nan_to_null(F.col(value))).alias(value))
+    return means.where(F.col(value).isNotNull()).select(
+        *keys, F.col("_hour.start").cast("timestamp_ntz").alias(ts), value)
 
 
 def drift_stream(features: DataFrame, reference: DataFrame, path: str, dataset_name: str = "stream",
