@@ -18,7 +18,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in plan for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF"))
+    assert differences(df, con, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

@@ -25,7 +25,7 @@ def test_save_predictions_refuses_taken_keys(spark, tmp_path):
     for bad in (forecast(spark, date(2024, 1, 2), date(2024, 1, 9)), forecast(spark, date(2024, 3, 1), date(2024, 3, 1))):
         with pytest.raises(RuntimeError, match="already exists"):
             tables.save_predictions(bad, path)
-    got = tables.read_version(spark, path, PREDICTIONS)
+    got = tables.read_table(spark, path, PREDICTIONS)
     assert got.count() == 3 and got.where(F.size("forecast_24h") == 24).count() == 3
 
 
@@ -39,14 +39,25 @@ def test_required_columns(spark, tmp_path):
 
 def test_retention(spark, tmp_path):
     path = str(tmp_path / "predictions")
+    assert tables.delete_old_predictions(spark, path, date(2024, 6, 30)) == 0
     tables.save_predictions(forecast(spark, date(2024, 1, 1), date(2024, 3, 31), date(2024, 4, 1)), path)
-    rows = tables.read_version(spark, path, PREDICTIONS)
+    rows = tables.read_table(spark, path, PREDICTIONS)
     split = ops.retention_split(rows, at("2024-06-30"), 90).first()
     assert (split["kept"], split["dropped"]) == (1, 2)
-    assert tables.delete_old_predictions(spark, path, at("2024-06-30"), 90) == 2
-    assert tables.read_version(spark, path, PREDICTIONS).count() == 1
-    assert tables.delete_old_predictions(spark, path, at("2024-06-30"), 90) == 0
-    assert tables.current_version(spark, path) == 2
+    assert ops.expired(rows, at("2024-06-30"), 90).count() == 2
+    assert tables.delete_old_predictions(spark, path, date(2024, 6, 30), 90) == 2
+    left = tables.read_table(spark, path, PREDICTIONS)
+    assert [r["prediction_date"] for r in left.collect()] == [date(2024, 4, 1)]
+    assert tables.delete_old_predictions(spark, path, date(2024, 6, 30), 90) == 0
+
+
+def test_conflict_check_reads_only_the_incoming_dates(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    tables.save_predictions(forecast(spark, date(2024, 1, 1), date(2024, 1, 2)), path)
+    one = tables.read_table(spark, path, PREDICTIONS).where(F.col("prediction_date").isin([date(2024, 1, 2)]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(prediction_date" in plan or "prediction_date#" in plan.split("PartitionFilters")[1][:120]
+    assert len(one.inputFiles()) >= 1 and one.count() == 1
 
 
 def profile(spark, version, samples, stamp):

@@ -152,7 +152,7 @@ def corr_matrix(spark, sf):
 
 def _matrices(spark, sf):
     a = correlation_matrix(lineitem(spark, sf), NUMBERS).withColumn("source", F.lit("lineitem"))
-    b = correlation_matrix(dataset(spark, sf), HISTORY).withColumn("source", F.lit("dataset"))
+    b = correlation_matrix(dataset(spark, sf), HISTORY, complete=True).withColumn("source", F.lit("dataset"))
     return a.unionByName(b)
 
 
@@ -161,7 +161,7 @@ def _matrices(spark, sf):
     ["correlation"], ctes=f"WITH {DATASET_SQL}"))
 def corr_high_pairs(spark, sf):
     a = high_pairs(correlation_pairs(lineitem(spark, sf), NUMBERS)).withColumn("source", F.lit("lineitem"))
-    b = high_pairs(correlation_pairs(dataset(spark, sf), HISTORY)).withColumn("source", F.lit("dataset"))
+    b = high_pairs(correlation_pairs(dataset(spark, sf), HISTORY, complete=True)).withColumn("source", F.lit("dataset"))
     return tidy(a.unionByName(b))
 
 
@@ -171,7 +171,7 @@ def corr_high_pairs(spark, sf):
   FROM ({corr_sql('dataset', 'dataset', HISTORY, lambda i, j: True)}) AS m""",
     ["average_absolute_correlation"], ctes=f"WITH {DATASET_SQL}"))
 def corr_summary(spark, sf):
-    return tidy(correlation_summary(correlation_matrix(dataset(spark, sf), HISTORY)))
+    return tidy(correlation_summary(correlation_matrix(dataset(spark, sf), HISTORY, complete=True)))
 
 
 @query("corr_target", tidy_sql("""SELECT 'irradiation' AS feature, corr(g.ac_power, w.ac_power) AS correlation

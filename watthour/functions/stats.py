@@ -40,6 +40,11 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), spread)
 
 
+def correlation_complete(x: Column, y: Column) -> Column:
+    """Pearson r of columns without missing values; equal deviations are computed once."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def r_squared(squared_error: Column, squared_total: Column) -> Column:
     """1 - SSE/SST; with no spread in y: 1 if the fit is perfect, else 0."""
     return (

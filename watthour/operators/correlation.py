@@ -7,21 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watthour.functions.stats import correlation, nan_to_null
+from watthour.functions.stats import correlation, correlation_complete, nan_to_null
 
 # fixed values: pairs above this are reported
 HIGH_CORRELATION = 0.8
 
 
-def _cells(df: DataFrame, columns: Sequence[str], full: bool) -> DataFrame:
+def _cells(df: DataFrame, columns: Sequence[str], full: bool, complete: bool) -> DataFrame:
     """Cells of the matrix from one aggregate; all partial sums fit in one row per task,
     so that row is all that is shuffled."""
+    pearson = correlation_complete if complete else correlation
     columns = list(columns)
     if len(columns) < 2:
         raise ValueError("correlation needs at least two numeric columns")
     n = range(len(columns))
     values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"_x{i}") for i, c in enumerate(columns)])
-    pairs = [correlation(F.col(f"_x{i}"), F.col(f"_x{j}")).alias(f"_r{i}_{j}") for i in n for j in n if i < j]
+    pairs = [pearson(F.col(f"_x{i}"), F.col(f"_x{j}")).alias(f"_r{i}_{j}") for i in n for j in n if i < j]
     spread = [F.when(F.stddev_pop(f"_x{i}") > 0, 1.0).alias(f"_r{i}_{i}") for i in n] if full else []
     cells = F.array(*[
         F.struct(F.lit(columns[i]).alias("feature_1"), F.lit(columns[j]).alias("feature_2"),
@@ -31,17 +32,18 @@ def _cells(df: DataFrame, columns: Sequence[str], full: bool) -> DataFrame:
     return values.agg(*pairs, *spread).select(F.explode(cells).alias("p")).select("p.*")
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_pairs(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """(feature_1, feature_2, correlation) for every pair, each in column order.
 
-    A pair uses the rows where both are present.
+    A pair uses the rows where both are present.  ``complete`` says that no value is
+    missing, as in a training frame: deviations are then taken once per column.
     """
-    return _cells(df, columns, full=False)
+    return _cells(df, columns, False, complete)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """Every cell of the matrix, both halves and the diagonal, in long form."""
-    return _cells(df, columns, full=True)
+    return _cells(df, columns, True, complete)
 
 
 def high_pairs(pairs: DataFrame, threshold: float = HIGH_CORRELATION) -> DataFrame:
@@ -61,11 +63,6 @@ def correlation_summary(matrix: DataFrame, threshold: float = HIGH_CORRELATION)
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """r of one column with each of the others."""
-    pairs = correlation_pairs_with(df, target, columns)
-    return pairs.select("feature", "correlation")
-
-
-def correlation_pairs_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     y = nan_to_null(F.col(target).cast("double"))
     one = df.agg(*[
         correlation(y, nan_to_null(F.col(c).cast("double"))).alias(f"_r{i}") for i, c in enumerate(columns)

@@ -129,17 +129,14 @@ def recommendations(rate: Column, recent: Column, have_reference: Column, health
 def monitor_report(rate: DataFrame, health: DataFrame, top: DataFrame, lines: int = 3) -> DataFrame:
     """One row: drift figures, health, the top features as text, and the advice.
 
-    The inputs have one row (``rate``, ``health``) or a few (``top``); they meet on a
-    constant key.
+    The single-row inputs are stacked and folded into one row.
     """
-    one = F.lit(1).alias("_one")
     ranked = top.orderBy(F.desc("drift_count"), "feature_name").limit(lines)
     text = F.format_string("%s: %d events", F.col("feature_name"), F.col("drift_count"))
     listed = ranked.agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("drift_count")).alias("n"), F.col("feature_name").alias("f"), text.alias("text")))).alias("_top"))
-    joined = (
-        rate.select("*", one).join(health.select("*", one), "_one").join(listed.select("*", one), "_one")
-    )
+    parts = rate.unionByName(health, allowMissingColumns=True).unionByName(listed, allowMissingColumns=True)
+    joined = parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
     advice = recommendations(
         F.col("overall_drift_rate"), F.col("recent_predictions_24h"),
         F.col("reference_data_available"), F.col("overall_healthy"))

@@ -43,14 +43,14 @@ def _tally(long: DataFrame) -> DataFrame:
 
 
 def _base(tally: DataFrame, **extra: Column) -> DataFrame:
-    """Fields every type has; a column without values gets the fixed empty template."""
+    """Fields every type has, and the count of the commonest value; a column without
+    values gets the fixed empty template."""
     here = F.col("value").isNotNull()
-    commonest = F.min(F.when(here, F.struct((-F.col("c")).alias("n"), F.col("value").alias("v"))))
     raw = tally.groupBy("feature").agg(
         F.sum(F.when(here, F.col("c")).otherwise(0)).alias("count"),
         F.sum(F.when(here, 0).otherwise(F.col("c"))).alias("_missing"),
         F.count_if(here).alias("unique_values"),
-        commonest.alias("_mode"),
+        F.max(F.when(here, F.col("c"))).alias("_top"),
         *[c.alias(name) for name, c in extra.items()],
     )
     some = F.col("count") > 0
@@ -60,7 +60,7 @@ def _base(tally: DataFrame, **extra: Column) -> DataFrame:
         percent(F.col("_missing"), F.col("count") + F.col("_missing")).alias("missing_percentage"),
         "unique_values",
         (F.col("unique_values") <= 1).alias("is_constant"),
-        F.col("_mode.v").alias("mode"),
+        "_top",
         *extra,
     )
 
@@ -90,7 +90,9 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
             F.sum(F.pow(off, 3) * c).alias("_s3"),
             F.sum(F.pow(off, 4) * c).alias("_s4"),
             F.sum(F.when(outside, c).otherwise(0)).alias("outlier_count"),
-            *[F.first(name).alias(name) for name in head.columns if name != "feature"],
+            # the smallest of the commonest values
+            F.min(F.when(c == F.col("_top"), v)).alias("mode"),
+            *[F.first(name).alias(name) for name in head.columns if name not in ("feature", "_top")],
         )
     )
     n = F.col("count")
@@ -113,8 +115,15 @@ def profile_strings(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns = list(columns or string_columns(df))
     long = df.select(*columns).unpivot([], columns, "feature", "value")
     empty = {name: F.lit(None).cast("double") for name in NUMERIC_FIELDS}
+    tally = _tally(long)
+    base = _base(tally)
+    commonest = (
+        tally.join(F.broadcast(base.select("feature", "_top")), "feature")
+        .where((F.col("c") == F.col("_top")) & F.col("value").isNotNull())
+        .groupBy("feature").agg(F.min("value").alias("mode"))
+    )
     return (
-        _base(_tally(long))
+        base.join(F.broadcast(commonest), "feature", "left")
         .withColumns({
             "dtype": F.when(F.col("count") > 0, _dtype(df, columns)).otherwise("unknown"),
             **empty,
@@ -210,7 +219,9 @@ def _with_horizon(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 def target_stats(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """All horizons taken together; population deviation."""
     facts = exact_percentiles(
-        _with_horizon(df, targets).withColumn("_all", F.lit(0)), ["_all"], "value", {"overall_median": 0.5},
+        # one group over all horizons, which count from 1
+        _with_horizon(df, targets).withColumn("_all", F.least(F.col("horizon"), F.lit(0))), ["_all"], "value",
+        {"overall_median": 0.5},
         also={"total_predictions": F.count("*"), "valid_predictions": F.count("value"),
               "overall_mean": F.avg("value"), "overall_std": F.stddev_pop("value"),
               "overall_min": F.min("value"), "overall_max": F.max("value")},

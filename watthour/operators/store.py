@@ -18,13 +18,16 @@ PROTECTED_STAGES = ("Production", "Staging", "Archived")
 
 
 def append_dedup(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The incoming rows whose key is not taken yet."""
-    return join_on(incoming, existing.select(*key), key, "left_anti")
+    """The incoming rows whose key is not taken yet.
+
+    Keys are made distinct first, map side, so a key with many rows is one row here.
+    """
+    return join_on(incoming, existing.select(*key).distinct(), key, "left_anti")
 
 
 def conflicts(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """The incoming rows whose key exists already."""
-    return join_on(incoming, existing.select(*key), key, "left_semi")
+    return join_on(incoming, existing.select(*key).distinct(), key, "left_semi")
 
 
 def repeated_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -85,6 +85,6 @@ def collect_reference(rows: DataFrame, features: Sequence[str], targets: Sequenc
         "target_profile_by_horizon": target_stats_by_horizon(rows, targets),
     }
     if len(numbers) >= 2:
-        out["correlation_pairs"] = high_pairs(correlation_pairs(x, numbers))
-        out["correlation_summary"] = correlation_summary(correlation_matrix(x, numbers))
+        out["correlation_pairs"] = high_pairs(correlation_pairs(x, numbers, complete=True))
+        out["correlation_summary"] = correlation_summary(correlation_matrix(x, numbers, complete=True))
     return out

@@ -1,18 +1,21 @@
 """Parquet tables for predictions, metrics, drift log, profiles and fitted parameters.
 
-Append-only tables grow in place.  Tables that are changed (upsert, retention) are
-written to a new ``version=N`` folder, never over the files being read.
+Logs and predictions grow in place; predictions are partitioned by date, so a conflict
+check reads only the incoming dates and retention drops whole folders.  The small tables
+that are upserted (profiles, parameters) are written to a new ``version=N`` folder, never
+over the files being read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watthour.operators.store import conflicts, expired, repeated_keys, retained, upsert
+from watthour.operators.store import conflicts, repeated_keys, upsert
 from watthour.schemas import PREDICTION_KEY, PREDICTIONS, REFERENCE_KEY, SCALER_PARAMS
 
 
@@ -61,9 +64,9 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(f"{path}/version={version}")
 
 
-def write_version(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_version(rows: DataFrame, path: str) -> int:
     version = current_version(rows.sparkSession, path) + 1
-    rows.write.mode("error").partitionBy(*partition_by).parquet(f"{path}/version={version}")
+    rows.write.mode("error").parquet(f"{path}/version={version}")
     return version
 
 
@@ -77,22 +80,30 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def save_predictions(rows: DataFrame, path: str, key: Sequence[str] = PREDICTION_KEY) -> int:
-    """Write a new version holding the old predictions and the new; a taken key is an error."""
-    spark = rows.sparkSession
+def save_predictions(rows: DataFrame, path: str, key: Sequence[str] = PREDICTION_KEY) -> None:
+    """Append predictions; a key that is taken already, or twice in ``rows``, is an error.
+
+    Only the partitions of the incoming dates are read, a handful per run.
+    """
     incoming = conform(rows, PREDICTIONS)
-    existing = read_version(spark, path, PREDICTIONS)
+    dates = [r[0] for r in incoming.select("prediction_date").distinct().collect()]
+    existing = read_table(rows.sparkSession, path, PREDICTIONS).where(F.col("prediction_date").isin(dates))
     if not repeated_keys(incoming, key).isEmpty() or not conflicts(existing, incoming, key).isEmpty():
         raise RuntimeError("duplicate prediction: already exists")
-    return write_version(existing.unionByName(incoming), path, ["prediction_date"])
+    append(incoming, path, PREDICTIONS, ["prediction_date"])
 
 
-def delete_old_predictions(spark: SparkSession, path: str, as_of: Column, days: int = 90) -> int:
-    """Drop predictions older than ``days`` and return how many went."""
-    rows = read_version(spark, path, PREDICTIONS)
-    gone = expired(rows, as_of, days).count()
-    if gone:
-        write_version(retained(rows, as_of, days), path, ["prediction_date"])
+def delete_old_predictions(spark: SparkSession, path: str, as_of: date, days: int = 90) -> int:
+    """Drop the partitions older than ``days`` and return how many predictions went."""
+    if not exists(spark, path):
+        return 0
+    cutoff = as_of - timedelta(days=days)
+    gone = read_table(spark, path, PREDICTIONS).where(F.col("prediction_date") < F.lit(cutoff)).count()
+    files, where = _folder(spark, path)
+    for entry in files.listStatus(where):
+        name, _, day = entry.getPath().getName().partition("=")
+        if name == "prediction_date" and date.fromisoformat(day) < cutoff:
+            files.delete(entry.getPath(), True)
     return gone
 
 
