@@ -31,6 +31,11 @@ def gen_weather_join(generation: DataFrame, weather: DataFrame, ts: str = TS, ke
     return join_on(generation, weather, [*keys, ts])
 
 
+def time_slice(series: DataFrame, start, end, ts: str = TS) -> DataFrame:
+    """Rows from ``start`` to ``end``, both included."""
+    return series.where(F.col(ts).between(start, end))
+
+
 def first_rows(series: DataFrame, n: int, ts: str = TS) -> DataFrame:
     return series.orderBy(ts).limit(n)
 

@@ -102,6 +102,18 @@ def metrics_long(metrics: DataFrame, names: Sequence[str], ids: Sequence[str]) -
     return wide.unpivot(list(ids), list(names), "metric_name", "metric_value")
 
 
+def performance_rows(metrics: DataFrame, model_name: str, model_version: str | None, at: Column,
+                     metadata: dict[str, str] | None = None) -> DataFrame:
+    """(metric_name, metric_value) rows in the shape of the performance table."""
+    pairs = [F.lit(x) for item in (metadata or {}).items() for x in item]
+    text = F.to_json(F.create_map(*pairs)) if pairs else F.lit("{}")
+    return metrics.select(
+        at.cast("timestamp_ntz").alias("timestamp"), F.lit(model_name).alias("model_name"),
+        F.lit(model_version).cast("string").alias("model_version"), "metric_name", "metric_value",
+        text.alias("metadata"),
+    )
+
+
 def forecast_json(forecasts: DataFrame, array: str = "forecast_24h") -> DataFrame:
     """The array as JSON text, for export."""
     return forecasts.withColumn(array, F.to_json(array))

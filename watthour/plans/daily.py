@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watthour.operators.drift import detect_drift, drift_log_rows
+from watthour.operators.drift import DRIFT_THRESHOLD, detect_drift, drift_log_rows, drift_summary
 from watthour.operators.dataset import align_columns
 from watthour.operators.forecast import (
     forecast_day_metrics, forecast_validate, midnight_features, naive_forecast,
@@ -16,7 +16,8 @@ from watthour.operators.forecast import (
 from watthour.operators.models import predict_horizons
 from watthour.operators.scaling import apply_scaler
 from watthour.plans.training import Fitted
-from watthour.schemas import TS, VALUE
+from watthour.schemas import DRIFT_LOG, TS, VALUE
+from watthour.sources.tables import append, save_predictions
 
 
 def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, models: dict,
@@ -59,8 +60,40 @@ def naive_run(hourly: DataFrame, start: date, end: date, at: Column, model_name:
     return prediction_rows(forecasts, model_name, 0, at, strict=False)
 
 
+def daily_run(hourly: DataFrame, start: date, end: date, fitted: Fitted, models: dict, model_name: str,
+              at: Column, predictions_path: str, reference: DataFrame | None = None,
+              drift_path: str | None = None, ts: str = TS, value: str = VALUE, keys: Sequence[str] = (),
+              calendar_at: str = "noon") -> DataFrame:
+    """Forecast, check, store, and score drift for every series and date; returns the
+    stored rows.  A forecast of the wrong length or a key that is taken stops the run."""
+    features, forecasts = model_forecast(hourly, start, end, fitted, models, ts, value, keys, calendar_at=calendar_at)
+    rows = prediction_rows(forecasts, model_name, len(fitted.features), at)
+    save_predictions(rows, predictions_path, keys)
+    quick_drift_check(features.drop(*keys), reference, at, drift_path)
+    return rows
+
+
 def drift_check(features: DataFrame, reference: DataFrame, at: Column, dataset_name: str = "batch_predictions",
                 keys: Sequence[str] = ()) -> DataFrame:
     """Score the features of a run and shape the result for the drift log."""
     return drift_log_rows(detect_drift(features.drop("anchor_ts", "prediction_date"), reference, keys=keys),
                           dataset_name, at)
+
+
+def quick_drift_check(features: DataFrame, reference: DataFrame | None, at: Column, drift_path: str | None = None,
+                      dataset_name: str = "batch_predictions", threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """Summary row of a drift check, logged to ``drift_path`` if given.
+
+    Without a reference nothing is scored and ``drift_detection_failed`` is true.
+    """
+    spark = features.sparkSession
+    missing = reference is None
+    if missing:
+        reference = spark.createDataFrame([], "feature string, mean double, std double")
+    scores = detect_drift(features.drop("anchor_ts", "prediction_date"), reference, threshold)
+    if drift_path is not None and not missing:
+        append(drift_log_rows(scores, dataset_name, at), drift_path, DRIFT_LOG)
+    return drift_summary(scores, threshold).withColumns({
+        "drift_detection_failed": F.lit(missing),
+        "reason": F.lit("no_reference_data" if missing else None).cast("string"),
+    })

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watthour.operators.store import conflicts, repeated_keys, upsert
-from watthour.schemas import PREDICTION_KEY, PREDICTIONS, REFERENCE_KEY, SCALER_PARAMS
+from watthour.operators.store import conflicts, repeated_keys, select_profile, upsert
+from watthour.schemas import PREDICTION_KEY, PREDICTIONS, REFERENCE_DATA, REFERENCE_KEY, SCALER_PARAMS
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -80,17 +80,23 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def save_predictions(rows: DataFrame, path: str, key: Sequence[str] = PREDICTION_KEY) -> None:
+def predictions_schema(rows: DataFrame, keys: Sequence[str] = ()) -> T.StructType:
+    """The predictions table, led by the series keys where there are several series."""
+    return T.StructType([*[rows.schema[k] for k in keys], *PREDICTIONS.fields])
+
+
+def save_predictions(rows: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     """Append predictions; a key that is taken already, or twice in ``rows``, is an error.
 
     Only the partitions of the incoming dates are read, a handful per run.
     """
-    incoming = conform(rows, PREDICTIONS)
+    schema, key = predictions_schema(rows, keys), [*keys, *PREDICTION_KEY]
+    incoming = conform(rows, schema)
     dates = [r[0] for r in incoming.select("prediction_date").distinct().collect()]
-    existing = read_table(rows.sparkSession, path, PREDICTIONS).where(F.col("prediction_date").isin(dates))
+    existing = read_table(rows.sparkSession, path, schema).where(F.col("prediction_date").isin(dates))
     if not repeated_keys(incoming, key).isEmpty() or not conflicts(existing, incoming, key).isEmpty():
         raise RuntimeError("duplicate prediction: already exists")
-    append(incoming, path, PREDICTIONS, ["prediction_date"])
+    append(incoming, path, schema, ["prediction_date"])
 
 
 def delete_old_predictions(spark: SparkSession, path: str, as_of: date, days: int = 90) -> int:
@@ -113,6 +119,42 @@ def upsert_table(rows: DataFrame, path: str, schema: T.StructType, key: Sequence
     return write_version(upsert(read_version(rows.sparkSession, path, schema), incoming, key), path)
 
 
+def save_reference(tables: dict[str, DataFrame], path: str, model_name: str, model_version: str,
+                   at: Column) -> None:
+    """Store the tables of a reference profile under (model, version); the same version
+    again replaces its rows and refreshes its timestamp."""
+    def tagged(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(model_name).alias("model_name"), F.lit(model_version).alias("model_version"), "*")
+
+    for name, rows in tables.items():
+        rows = tagged(rows)
+        upsert_table(rows, f"{path}/{name}", _nullable(rows.schema))
+    counts = tables["target_profile"].select(
+        F.col("total_samples").alias("training_samples"), F.col("forecast_horizons").alias("target_horizons"))
+    features = tables["data_quality"].first()["feature_count"]
+    head = tagged(counts).withColumns({
+        "feature_count": F.lit(features), "timestamp": at.cast("timestamp_ntz"),
+        "collection_timestamp": at.cast("timestamp_ntz"),
+    })
+    upsert_table(head, f"{path}/reference_data", REFERENCE_DATA)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def load_drift_reference(spark: SparkSession, path: str, model_name: str,
+                         model_version: str | None = None) -> DataFrame | None:
+    """Slim statistics of the given version, else of the newest one; None if there is none."""
+    head = select_profile(read_version(spark, f"{path}/reference_data", REFERENCE_DATA), model_name, model_version)
+    found = head.select("model_version").first()
+    if found is None:
+        return None
+    folder = f"{path}/drift_reference"
+    rows = spark.read.parquet(f"{folder}/version={current_version(spark, folder)}")
+    return rows.where((F.col("model_name") == model_name) & F.col("model_version").eqNullSafe(F.lit(found[0])))
+
+
 def save_params(params: DataFrame, path: str) -> int:
     return write_version(conform(params, SCALER_PARAMS).coalesce(1), path)
 
