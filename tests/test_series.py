@@ -1,12 +1,14 @@
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import START, series
 from watthour.functions.calendar import calendar_columns
+from watthour.functions.stats import seconds_between, whole_days
 from watthour.operators import hourly as ops
 from watthour.operators.checks import forbidden_present, leakage_report, require_valid
+from watthour.operators.forecast import midnight_features
 from watthour.operators.explore import daily_totals, hour_profile, peak_hour
 
 SCHEMA = "date_time timestamp_ntz, ac_power double"
@@ -114,3 +116,26 @@ def test_peak_hour_takes_the_earliest_on_a_tie(spark):
     row = peak_hour(hour_profile(df)).first()
     assert (row["peak_hour"], row["peak_mean"]) == (1, 9.0)
     assert daily_totals(df).first()["total_value"] == 21.0
+
+
+def test_session_zone_and_its_clock_change_do_not_matter(spark):
+    # clocks in New York skip 2024-03-10 02:00
+    rows = [(datetime(2024, 3, 9, 12) + timedelta(hours=i, minutes=5), float(i)) for i in range(30)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        hourly = ops.hourly_mean(spark.createDataFrame(rows, SCHEMA))
+        assert hourly.count() == 30
+        row = leakage_report(hourly, lag_days=(1,)).first()
+        assert (row["total_gaps"], row["duplicate_timestamps"], row["frequency_consistent"]) == (0, 0, True)
+        features = midnight_features(hourly, date(2024, 3, 10), date(2024, 3, 10), lag_days=(1,), rolling_days=(1,))
+        assert features.first()["anchor_ts"] == datetime(2024, 3, 9, 23)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_seconds_keep_fractions(spark):
+    rows = [(START, START + timedelta(days=3, hours=2, seconds=1, microseconds=250_000))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    row = df.select(seconds_between(F.col("a"), F.col("b")), whole_days(F.col("a"), F.col("b"))).first()
+    assert tuple(row) == (266401.25, 3)

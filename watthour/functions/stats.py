@@ -60,10 +60,12 @@ def percent(part: Column, whole: Column) -> Column:
 
 def whole_days(start: Column, end: Column) -> Column:
     """Whole days between two timestamps, the rest cut off."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return F.floor(micros / F.lit(86_400_000_000)).cast("long")
+    return F.extract(F.lit("DAY"), end - start).cast("long")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(1_000_000.0)
+    """Elapsed seconds.  Taken from an interval, so that timestamps without a zone are
+    never read through the session's zone and its clock changes."""
+    gap = end - start
+    parts = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+    return sum((F.extract(F.lit(p), gap).cast("double") * n for p, n in parts.items()), F.lit(0.0))
