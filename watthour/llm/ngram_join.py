@@ -364,6 +364,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = sets.where("n_shingles >= 4").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     asked = stage(groups.join(blocks, "root").join(first, "node").select(
         "doc_id", "node", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own")), "asked")
+    asked = asked.hint("shuffle_hash")  # it grows with the corpus: the same join at every size
     texts = docs.join(asked, docs.doc_id.eqNullSafe(asked.doc_id)).select("node", "root", "blocks", "own", "text")
     meet = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
