@@ -33,8 +33,9 @@ from watthour.llm.staging import partitions, stage, widened
 from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, slices
 
 GRAM = 32
-PIECE = 1 << 19  # windows of one text that are parsed together
-BUFFER = 1 << 20  # bytes hashed together
+PIECE = 1 << 17  # windows of one text that are parsed together
+BUFFER = 1 << 18  # bytes hashed together; at most 1 << 20, as places take 20 bits
+PART = 3 << 20  # bytes of text worked on together
 PER_GRAM = 16  # entries of one gram that a batch ships; the rest are compared as windows
 NULL_ID = -(2**63)
 
@@ -99,7 +100,7 @@ def _parse(length: int, buckets: int):
     here; so a passage that many texts hold ships once a batch."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 4096, 8 << 20):
+            for part in slices(batch, "text", 4096, PART):
                 texts = _bytes(part.column("text"))
                 rows = []
                 for data, owner, base, bounds in _buffers(texts, length):
@@ -207,7 +208,7 @@ def _windows(length: int, buckets: int):
     """Hashes of the windows of open runs and their witnesses, by bucket."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 4096, 4 << 20):
+            for part in slices(batch, "text", 4096, PART):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 version = part.column("version").to_numpy(zero_copy_only=False)
                 rows = []
@@ -279,7 +280,7 @@ KEPT = {"doc_id": T.LongType(), "n_bytes": T.LongType(), "n_removed": T.LongType
 def _remove(length: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 4096, 8 << 20):
+            for part in slices(batch, "text", 4096, PART):
                 rows = []
                 for raw, runs in zip(_bytes(part.column("text")), part.column("runs").to_pylist()):
                     removed = spans = 0
