@@ -30,7 +30,7 @@ BACKOFF = 0.4
 HOT = 2000
 BITS = 44
 START, END = U64(1), U64(0)  # as words; the hashes of words are larger
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +123,8 @@ def _sums(rows: list[tuple], batches: np.ndarray, place: np.ndarray, doc: np.nda
     key = place << 12 | doc
     total = np.bincount(key, weights=score, minlength=len(batches) << 12)
     for i, name in enumerate(batches):
-        rows.append((int(name) % buckets, SUMS, int(name), b"", b"", blob(total[i << 12:(i + 1) << 12].astype(np.float64))))
+        own = np.trim_zeros(total[i << 12:(i + 1) << 12], "b")
+        rows.append((int(name) % buckets, SUMS, int(name), b"", b"", blob(own)))
 
 
 def _score(buckets: int, hot: dict[int, int], total: int, least: int):
@@ -147,6 +148,7 @@ def _score(buckets: int, hot: dict[int, int], total: int, least: int):
             entries = _column(table, "entries", U64)
             place = np.repeat(np.arange(len(batches)), [len(e) for e in entries])
             entry = np.concatenate(entries)
+            del entries
             context = np.concatenate([np.repeat(k, n) for k, n in zip(_column(table, "keys", U64), _column(table, "numbers", np.uint32))])
             times, word = (entry & U64(255)).astype(np.int64), entry >> U64(20)
             doc = (entry >> U64(8) & U64(0xFFF)).astype(np.int64)
@@ -155,14 +157,22 @@ def _score(buckets: int, hot: dict[int, int], total: int, least: int):
             fixed = count(contexts)
             mine = fixed == 0
             rows.append((int(table.column("bucket")[0].as_py()), COUNTS, 0, blob(contexts[mine]), blob(own[mine]), b""))
-            c1 = np.where(mine, own, fixed)[at]
+            score = -np.log(np.where(mine, own, fixed))[at]
+            del at, contexts
             _, pair = np.unique(mix(mix(context) + word), return_inverse=True)
-            c2 = np.bincount(pair, weights=times).astype(np.int64)[pair]
+            del context
+            c2 = np.bincount(pair, weights=times)[pair]
+            del pair
             real = word != END
             seen = real & (c2 >= least)
+            score += np.log(c2)
+            del c2
+            score[~seen] = log(BACKOFF) - log(max(total, 1))
+            score[~real] = 0
             back = count(word)
-            score = np.where(seen, np.log(c2 / c1), np.where(real, log(BACKOFF) - log(max(total, 1)), 0.0))
-            score = (score + np.where(real & ~seen & (back > 0), np.log(np.maximum(back, 1)), 0.0)) * times
+            known_back = np.flatnonzero(real & ~seen & (back > 0))
+            score[known_back] += np.log(back[known_back])
+            score *= times
             _sums(rows, batches, place, doc, score, buckets)
             on = np.flatnonzero(real & ~seen & (back == 0))
             bucket = _bucket(word[on], buckets)
@@ -203,7 +213,7 @@ def _documents(table: pa.Table) -> pa.Table:
     n = np.frombuffer(ids["numbers"], dtype=np.int64)
     total = np.zeros(1 << 12)
     for sums in _column(table.filter(pa.array(kind == SUMS)), "entries", np.float64):
-        total += sums
+        total[: len(sums)] += sums
     total = total[: len(n)]
     return pa.table({
         "doc_id": pa.array(np.frombuffer(ids["keys"], dtype=np.int64), mask=np.frombuffer(ids["entries"], dtype=np.int8) > 0),

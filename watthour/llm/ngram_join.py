@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from watthour.llm.graph import components, spanning
 from watthour.llm.staging import partitions, stage
-from watthour.llm.textops import U64, blob, joined, mix, shingles, slices
+from watthour.llm.textops import U64, blob, joined, mix, remembered, shingles, slices
 
 LEVELS = 4  # partitions of the universe tried before empty segments count as values
 COMMON = 64  # a value in more sets than this is common: it is counted, not paired
@@ -161,6 +161,7 @@ def _sets(id_col: str, text_col: str):
 def _index(text_col: str, buckets: int):
     """Packed signatures: entry = 48-bit key, place of the set in the blob << 4, role/kind/level."""
     def run(batches):
+        remembered("sets")
         for batch in batches:
             for part in slices(batch, text_col):
                 hashes, bounds = shingles(*joined(part.column(text_col)))

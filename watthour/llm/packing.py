@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.llm.staging import partitions, stage, widened
-from watthour.llm.textops import slices
+from watthour.llm.textops import remembered, slices
 
 BINS = 256
 DEPTH = 3
@@ -64,13 +64,11 @@ class Ids(dict):
         return b"".join(map(self.__getitem__, PARTS.findall(text)))
 
 
-_IDS: dict[str, Ids] = {}
-
-
 def token_ids(path: str) -> Ids:
-    if path not in _IDS:
-        _IDS[path] = Ids(path)
-    return _IDS[path]
+    memory = remembered("packing")
+    if path not in memory:
+        memory[path] = Ids(path)
+    return memory[path]
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin int"

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.llm.staging import partitions, stage, widened
-from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, slices
+from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, remembered, slices
 
 GRAM = 32
 PIECE = 1 << 17  # windows of one text that are parsed together
@@ -99,6 +99,7 @@ def _parse(length: int, buckets: int):
     """Phrase entries by bucket of their gram.  A phrase seen before in the batch is settled
     here; so a passage that many texts hold ships once a batch."""
     def run(batches):
+        remembered("suffixes")
         for batch in batches:
             for part in slices(batch, "text", 4096, PART):
                 texts = _bytes(part.column("text"))

@@ -148,5 +148,15 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     return (np.concatenate(out) if out else np.zeros(0, dtype=U64)), bounds
 
 
+CACHES: dict[str, dict] = {}  # what an operator remembers in a worker, by operator
+
+
+def remembered(operator: str) -> dict:
+    """The operator's memory in this worker; those of other operators are let go."""
+    for other in [o for o in CACHES if o != operator]:
+        del CACHES[other]
+    return CACHES.setdefault(operator, {})
+
+
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from watthour.llm.textops import remembered
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed: an unknown character scores this much below the worst piece
 
@@ -83,13 +85,11 @@ class Counter(dict):
         return sum(map(self.__getitem__, (text[1:] if text[0] == " " else text).split(" "))) if text else 0
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(vocabulary(path))
-    return _COUNTERS[path]
+    memory = remembered("counts")
+    if path not in memory:
+        memory[path] = Counter(vocabulary(path))
+    return memory[path]
 
 
 def token_counts(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
