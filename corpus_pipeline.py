@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from watthour.llm.language_id import UNKNOWN, predict, train
 from watthour.llm.mixing import mix, repeat_documents
@@ -45,7 +46,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.join(kept, "__id", "left_semi").withColumn("__nth", nth).where("__nth = 1").select(*names)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _readable(kept):
     """Bytes as text; a character that lost some of its bytes goes."""
     return kept.map(lambda b: b.decode("utf-8", "ignore"))

@@ -82,7 +82,7 @@ FOLD_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 OP1_SQL = rf"""WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({FOLD_SQL}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
-    THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (shingle)
@@ -94,7 +94,7 @@ SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets
 JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
 
 OP7_SQL = """WITH RECURSIVE units AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
 reach(vec_id, root) AS (SELECT vec_id, vec_id FROM units

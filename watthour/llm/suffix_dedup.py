@@ -137,7 +137,7 @@ def _parse(length: int, buckets: int):
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 entry["phrase"] = phrase[kept] << U64(16) | (lead[kept] << 8 | span[kept]).astype(U64)
                 entry["at"] = at[kept]
-                out = [(int(ids[0]) % buckets, b"", b"", b"", _ipc(flags))] if len(done) else []
+                out = [(int(mix(ids[:1].view(U64))[0] % U64(buckets)), b"", b"", b"", _ipc(flags))] if len(done) else []
                 for k in np.flatnonzero(np.diff(cuts)):
                     own = slice(cuts[k], cuts[k + 1])
                     used, place = np.unique(text[kept[own]], return_inverse=True)

@@ -128,7 +128,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.
     first = np.searchsorted(starts, offsets)  # of each document's words
     words = mix(words)
     total = np.zeros(len(words), dtype=U64)
-    for k in range(width):
+    for k in range(width if len(words) >= width else 0):
         total[: len(words) - k] += words[k:] * U64(pow(0xD6E8FEB86659FD93, k + 1, 2**64))
     total = mix(total + U64(width))
     out, bounds = [], np.zeros(n + 1, dtype=np.int64)
