@@ -23,14 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watthour.llm.staging import partitions
-from watthour.llm.textops import U64, blob, joined, mix, slices, word_hashes
+from watthour.llm.staging import partitions, small_batches
+from watthour.llm.textops import U64, blob, joined, mix, slices, trim, word_hashes
 
 BACKOFF = 0.4
 HOT = 2000
 BITS = 44
 START, END = U64(1), U64(0)  # as words; the hashes of words are larger
-SLICE = 4 << 20
+SLICE = 3 << 20
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +139,7 @@ def _score(buckets: int, hot: dict[int, int], total: int, least: int):
         return np.where(names[at] == words, known[at], 0)
 
     def run(table: pa.Table) -> pa.Table:
+        trim()
         kind = table.column("kind").to_numpy()
         passed = table.filter(pa.array(kind == IDS))
         table = table.filter(pa.array(kind == NGRAMS))
@@ -188,6 +189,7 @@ def _score(buckets: int, hot: dict[int, int], total: int, least: int):
 
 def _back_off(buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        trim()
         kind = table.column("kind").to_numpy()
         passed = table.filter(pa.array((kind == IDS) | (kind == SUMS)))
         counts, table = table.filter(pa.array(kind == COUNTS)), table.filter(pa.array(kind == BACKED))
@@ -229,6 +231,7 @@ def stupid_backoff(docs: DataFrame, least: int = 2, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     buckets = partitions(spark)
+    small_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = docs.select("text")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watthour.llm.graph import components, spanning
-from watthour.llm.staging import partitions, stage
+from watthour.llm.staging import partitions, small_batches, stage
 from watthour.llm.textops import U64, blob, joined, mix, remembered, shingles, slices
 
 LEVELS = 4  # partitions of the universe tried before empty segments count as values
@@ -352,6 +352,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     is null).  An empty table gives an empty one; other columns are not looked at.
     """
     buckets = partitions(docs.sparkSession)
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = stage(docs.mapInArrow(_sets("doc_id", "text"), "doc_id long, n_shingles long, node long"), "sets")
     index = docs.select("text").mapInArrow(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watthour.llm.staging import partitions, stage, widened
+from watthour.llm.staging import partitions, small_batches, stage, widened
 from watthour.llm.textops import remembered, slices
 
 BINS = 256
@@ -225,6 +225,7 @@ def pack(docs: DataFrame, tokens: str, id_col: str = "doc_id", text_col: str = "
     offset 0.  An empty table gives no piece.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = PIECES + (", ids binary" if with_ids else "")
     pieces = stage(docs.mapInArrow(_pieces(tokens, window, with_ids), schema), "pieces")

@@ -30,6 +30,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Few texts in an Arrow batch: its buffers exist several times, in the JVM and in Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def widened(df: DataFrame, **columns: T.DataType) -> T.StructType:
     """The schema of ``df`` with more columns at its end."""
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in columns.items())])

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watthour.llm.staging import partitions, stage, widened
-from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, remembered, slices
+from watthour.llm.staging import partitions, small_batches, stage, widened
+from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, remembered, slices, trim
 
 GRAM = 32
 PIECE = 1 << 17  # windows of one text that are parsed together
 BUFFER = 1 << 18  # bytes hashed together; at most 1 << 20, as places take 20 bits
-PART = 3 << 20  # bytes of text worked on together
+PART = 2 << 20  # bytes of text worked on together
 PER_GRAM = 16  # entries of one gram that a batch ships; the rest are compared as windows
 NULL_ID = -(2**63)
 
@@ -168,6 +168,7 @@ def _rank(ids: np.ndarray, version: np.ndarray) -> np.ndarray:
 def _settle(table: pa.Table) -> pa.Table:
     """Of one bucket of grams: which runs are repeated, and which need comparing as windows."""
     out = [pa.ipc.open_stream(f).read_all() for f in table.column("flags").to_pylist() if f]
+    trim()
     schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int32()), ("first", pa.int64()), ("span", pa.int32()), ("kind", pa.int32())])
     entries, ids, versions, text = [], [], [], []
     for e, i, v in zip(*(table.column(c).to_pylist() for c in ("entries", "ids", "versions"))):
@@ -249,6 +250,7 @@ def _windows(length: int, buckets: int):
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Open windows with an earlier equal one, as runs."""
+    trim()
     hashes, places, ids, versions, text = [], [], [], [], []
     for h, w, i, v in zip(*(table.column(c).to_pylist() for c in ("hashes", "places", "ids", "versions"))):
         hashes.append(np.frombuffer(h, dtype=U64))
@@ -315,6 +317,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not GRAM <= length < GRAM + 256:
         raise ValueError("length must be 32 to 287")
     buckets = partitions(docs.sparkSession)
+    small_batches(docs.sparkSession)
     docs = docs.select(
         (F.struct(*carry) if carry else F.lit(None).cast("int")).alias("carried"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),

@@ -6,6 +6,7 @@ hash of a set without one element is the set's sum minus that element.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,5 +159,14 @@ def remembered(operator: str) -> dict:
     return CACHES.setdefault(operator, {})
 
 
+def trim() -> None:
+    """Give freed memory back to the system between two kinds of work."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only where the C library has it
+        pass
+
+
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()

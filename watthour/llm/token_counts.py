@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from watthour.llm.staging import small_batches
 from watthour.llm.textops import remembered
 
 MARK = "▁"
@@ -107,5 +108,6 @@ def token_counts(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
                  pa.array([count.text(t) for t in texts], pa.int64())],
                 names=["doc_id", "n_chars", "n_tokens"])
 
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return docs.mapInArrow(run, "doc_id long, n_chars long, n_tokens long")
