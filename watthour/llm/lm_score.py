@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watthour.llm.staging import partitions, small_batches
-from watthour.llm.textops import U64, blob, joined, mix, slices, trim, word_hashes
+from watthour.llm.textops import U64, blob, joined, lean, mix, slices, trim, word_hashes
 
 BACKOFF = 0.4
 HOT = 2000
@@ -57,7 +57,7 @@ def _frequent(only: np.ndarray | None):
                 names, counts = names[keep].astype(np.int64), counts[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(names, -1)), pa.array(np.append(counts, len(words)))], names=["word", "n"])
-    return run
+    return lean(run)
 
 
 ROWS = "bucket int, kind int, batch long, keys binary, numbers binary, entries binary"
@@ -111,7 +111,7 @@ def _ngrams(buckets: int, hot: np.ndarray):
                     number = np.diff(np.append(start, len(c))).astype(np.uint32)
                     out.append((int(k), NGRAMS, name, blob(c[start]), blob(number), blob(low[cuts[k]:cuts[k + 1]])))
                 yield pa.RecordBatch.from_arrays(_rows(out), schema=ROW)
-    return run
+    return lean(run)
 
 
 def _column(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from watthour.llm.graph import components, spanning
 from watthour.llm.staging import partitions, small_batches, stage
-from watthour.llm.textops import U64, blob, joined, mix, remembered, shingles, slices
+from watthour.llm.textops import U64, blob, joined, lean, mix, remembered, shingles, slices
 
 LEVELS = 4  # partitions of the universe tried before empty segments count as values
 COMMON = 64  # a value in more sets than this is common: it is counted, not paired
@@ -155,7 +155,7 @@ def _sets(id_col: str, text_col: str):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(id_col), pa.array(np.diff(bounds), pa.int64()), pa.array(nodes, pa.int64())],
                     names=["doc_id", "n_shingles", "node"])
-    return run
+    return lean(run)
 
 
 def _index(text_col: str, buckets: int):
@@ -198,7 +198,7 @@ def _index(text_col: str, buckets: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)],
                     names=["bucket", "entries", "nodes", "sizes", "voids"])
-    return run
+    return lean(run)
 
 
 FOUND = pa.schema([(n, pa.int64()) for n in ("a", "b", "band", "level", "need_a", "need_b", "found", "mask")])

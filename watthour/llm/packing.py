@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.llm.staging import partitions, small_batches, stage, widened
-from watthour.llm.textops import remembered, slices
+from watthour.llm.textops import lean, remembered, slices
 
 BINS = 256
 DEPTH = 3
@@ -98,7 +98,7 @@ def _pieces(path: str, window: int, with_ids: bool):
                 if with_ids:
                     columns, names = [*columns, pa.array(data, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-    return run
+    return lean(run)
 
 
 def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: int = 1000) -> np.ndarray:
@@ -212,7 +212,7 @@ def _assign(places: dict[int, np.ndarray]):
                 at = np.searchsorted(rows[:, 0], rank[own], side="right") - 1
                 sequence[own] = rows[at, 2] + (rank[own] - rows[at, 0]) // rows[at, 1]
             yield batch.append_column("sequence_id", pa.array(sequence))
-    return run
+    return lean(run)
 
 
 def pack(docs: DataFrame, tokens: str, id_col: str = "doc_id", text_col: str = "text",

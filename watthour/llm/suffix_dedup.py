@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.llm.staging import partitions, small_batches, stage, widened
-from watthour.llm.textops import U64, blob, mix, prefix_hash, range_hash, remembered, slices, trim
+from watthour.llm.textops import U64, blob, lean, mix, prefix_hash, range_hash, remembered, slices, trim
 
 GRAM = 32
 PIECE = 1 << 17  # windows of one text that are parsed together
@@ -147,7 +147,7 @@ def _parse(length: int, buckets: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)],
                     names=["bucket", "entries", "ids", "versions", "flags"])
-    return run
+    return lean(run)
 
 
 def _ipc(table: pa.Table) -> bytes:
@@ -245,7 +245,7 @@ def _windows(length: int, buckets: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)],
                     names=["bucket", "hashes", "places", "ids", "versions"])
-    return run
+    return lean(run)
 
 
 def _repeated(table: pa.Table) -> pa.Table:
@@ -301,7 +301,7 @@ def _remove(length: int):
                     rows.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string(), pa.binary()])]
                 yield pa.RecordBatch.from_arrays([part.column("carried"), part.column("doc_id"), *columns], names=["carried", *KEPT])
-    return run
+    return lean(run)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
