@@ -33,11 +33,12 @@ def test_trees_learn_the_day(spark, rows):
     assert ops.feature_importance(spark, models, features, average=True).agg(F.sum("importance")).first()[0] == pytest.approx(1)
 
 
-def test_grid_marks_one_best_per_fold_and_skips_failures(rows):
+def test_grid_marks_one_best_per_fold_and_reports_failures(rows):
     bad = {**SETTINGS, "depth": -1}
     scores = ops.grid_search(rows, feature_names(rows), TARGETS, (SETTINGS, bad), splits=2)
     got = scores.collect()
-    assert {(r["fold"], r["setting"]) for r in got} == {(1, 0), (2, 0)} and all(r["is_best"] for r in got)
+    assert {(r["fold"], r["setting"], r["is_best"]) for r in got} == {(k, i, i == 0) for k in (1, 2) for i in (0, 1)}
+    assert all((r["rmse"] is None) == bool(r["error"]) == (r["setting"] == 1) for r in got)
     assert ops.grid_summary(scores).first()["folds"] == 2
 
 

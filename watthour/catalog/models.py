@@ -16,7 +16,7 @@ QUICK_GRID = (QUICK, {**QUICK, "trees": 3, "depth": 3, "rate": 0.2})
 
 def _fitted(spark, sf):
     rows = train_test_split(dataset(spark, sf))
-    models = ops.fit_horizons(rows.where(F.col("split") == "train"), FEATURES, KEY_TARGETS, QUICK)
+    models = ops.fit_horizons(rows.where(F.col("split") == "train"), FEATURES, KEY_TARGETS, QUICK, partitions=1)
     return rows.where(F.col("split") == "test"), models
 
 
@@ -33,4 +33,4 @@ def feature_importance(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    return ops.grid_search(dataset(spark, sf), FEATURES, KEY_TARGETS, QUICK_GRID, splits=2)
+    return ops.grid_search(dataset(spark, sf), FEATURES, KEY_TARGETS, QUICK_GRID, splits=2, partitions=1)

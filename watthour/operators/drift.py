@@ -38,10 +38,14 @@ def score_moments(current: DataFrame, reference: DataFrame, threshold: float = D
                   by: Sequence[str] = ()) -> DataFrame:
     """Join moments with the reference; features the reference lacks are skipped.
 
-    The reference is the slim profile, one row per feature, so it is broadcast.
+    The reference is the slim profile with one row per feature; one that repeats a feature
+    (two versions, say) is refused, as it would give that feature several scores.
     """
-    known = reference.select("feature", F.col("mean").alias("reference_mean"), F.col("std").alias("reference_std"))
-    scored = current.join(F.broadcast(known), "feature").withColumn(
+    known = reference.groupBy("feature").agg(
+        F.count("*").alias("rows"), F.max("mean").alias("reference_mean"), F.max("std").alias("reference_std"))
+    refused = F.raise_error(F.concat(F.lit("reference repeats feature "), F.col("feature"))).cast("double")
+    known = known.select("feature", F.when(F.col("rows") > 1, refused).otherwise(F.col("reference_mean")).alias("reference_mean"), "reference_std")
+    scored = current.join(known, "feature").withColumn(
         "drift_score",
         drift_score(*[F.col(c) for c in ("current_mean", "current_std", "reference_mean", "reference_std")]),
     )

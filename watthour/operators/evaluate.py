@@ -45,9 +45,14 @@ def _accuracy(within: Sequence[int]) -> list[Column]:
     ]
 
 
+def complete_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs with both sides; every measure is over the same rows."""
+    return pairs.where(F.col("y").isNotNull() & F.col("y_hat").isNotNull())
+
+
 def overall_metrics(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """All horizons taken together, per model or fold if ``by`` says so."""
-    return pairs.groupBy(*by).agg(
+    return complete_pairs(pairs).groupBy(*by).agg(
         *_accuracy((10, 20, 30)),
         F.count("*").alias("total_samples"),
         F.count_distinct("horizon").alias("forecast_horizons"),
@@ -56,7 +61,7 @@ def overall_metrics(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def horizon_metrics(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per horizon, with mean and population deviation of both sides."""
-    return pairs.groupBy(*by, "horizon").agg(
+    return complete_pairs(pairs).groupBy(*by, "horizon").agg(
         *_accuracy((10, 20)),
         F.avg("y").alias("true_mean"), F.stddev_pop("y").alias("true_std"),
         F.avg("y_hat").alias("pred_mean"), F.stddev_pop("y_hat").alias("pred_std"),

@@ -17,7 +17,6 @@ from watthour.schemas import TS
 from watthour.session import ensure_checkpoint_dir
 
 SEED = 42
-PARTITION_ROWS = 20_000
 # fixed values: production settings of the model
 GBT_SETTINGS = {"trees": 50, "depth": 4, "rate": 0.1, "rows": 0.8, "columns": 0.8}
 # fixed values: the three settings that are searched
@@ -38,25 +37,31 @@ def with_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="_features").transform(df)
 
 
-def regressor(target: str, settings: dict) -> GBTRegressor:
+def regressor(target: str, settings: dict, checkpoints: bool = True) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="_features", labelCol=target, maxIter=settings["trees"], maxDepth=settings["depth"],
         stepSize=settings["rate"], subsamplingRate=settings["rows"],
         featureSubsetStrategy=str(settings["columns"]), seed=SEED,
+        checkpointInterval=10 if checkpoints else -1,
     )
 
 
 def fit_horizons(train: DataFrame, features: Sequence[str], targets: dict[int, str],
-                 settings: dict = GBT_SETTINGS, threads: int = 4) -> dict[int, GBTRegressionModel]:
-    """One independent model per horizon over the same assembled rows."""
+                 settings: dict = GBT_SETTINGS, threads: int = 4,
+                 partitions: int | None = None) -> dict[int, GBTRegressionModel]:
+    """One independent model per horizon over the same assembled rows.
+
+    Every tree level is a job over all partitions, so few rows want few of them; ``partitions``
+    brings the rows together in as many, and the default leaves them as they are.  Row samples
+    are drawn by partition: the trees depend on it.
+    """
     spark = train.sparkSession
-    ensure_checkpoint_dir(spark)  # trees cut their lineage there every ten rounds
+    checkpoints = ensure_checkpoint_dir(spark) is not None  # trees cut their lineage there
     rows = with_vector(train, features).select("_features", *targets.values())
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # every tree level is a job over all partitions: few rows want few partitions
-        compact = rows.coalesce(rows.count() // PARTITION_ROWS + 1)
-        fitted = _in_threads(lambda h: regressor(targets[h], settings).fit(compact), targets, threads, spark)
+        compact = rows.coalesce(partitions) if partitions else rows
+        fitted = _in_threads(lambda h: regressor(targets[h], settings, checkpoints).fit(compact), targets, threads, spark)
     finally:
         rows.unpersist()
     return dict(zip(targets, fitted))
@@ -91,35 +96,36 @@ def feature_importance(spark, models: dict[int, GBTRegressionModel], features: S
 
 def grid_search(dataset: DataFrame, features: Sequence[str], targets: dict[int, str],
                 grid: Sequence[dict] = GBT_GRID, ts: str = TS, splits: int = CV_SPLITS,
-                test_rows: int = CV_TEST_ROWS, threads: int = 4) -> DataFrame:
+                test_rows: int = CV_TEST_ROWS, threads: int = 4, keys: Sequence[str] = (),
+                partitions: int | None = None) -> DataFrame:
     """rmse of every setting on every time fold, with each fold's best marked.
 
-    A setting that fails on a fold is left out there.
+    Folds are cut in every series of ``keys``.  A setting that fails on a fold has a row with
+    null rmse and the message in ``error`` (empty otherwise); it is nobody's best.
     """
-    folds = cv_folds(dataset, ts, splits=splits, test_rows=test_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = cv_folds(dataset, ts, keys, splits=splits, test_rows=test_rows).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(task: tuple[int, int]):
         fold, number = task
         part = folds.where(F.col("fold") == fold)
         try:
-            models = fit_horizons(part.where(F.col("role") == "train"), features, targets, grid[number], threads)
+            models = fit_horizons(part.where(F.col("role") == "train"), features, targets, grid[number], threads, partitions)
             scored = predict_horizons(part.where(F.col("role") == "test"), features, models)
             pairs = horizon_pairs(scored, targets, ["fold"])
-            return fold, number, overall_metrics(pairs).first()["rmse"]
-        except Exception as problem:  # noqa: BLE001 - a failed setting is skipped, not fatal
-            print(f"grid setting {number} failed on fold {fold}: {problem}")
-            return None
+            return fold, number, overall_metrics(pairs).first()["rmse"], ""
+        except Exception as problem:  # noqa: BLE001 - a failed setting is reported, not fatal
+            return fold, number, None, str(problem) or type(problem).__name__
 
     try:
         tasks = [(k, i) for k in range(1, splits + 1) for i in range(len(grid))]
-        done = [r for r in _in_threads(run, tasks, threads, dataset.sparkSession) if r is not None]
+        done = _in_threads(run, tasks, threads, dataset.sparkSession)
     finally:
         folds.unpersist()
-    if not done:
+    if all(rmse is None for _, _, rmse, _ in done):
         raise RuntimeError("every setting failed on every fold")
-    scores = dataset.sparkSession.createDataFrame(done, "fold int, setting int, rmse double")
-    best = scores.groupBy("fold").agg(F.min_by("setting", F.struct("rmse", "setting")).alias("_best"))
-    return scores.join(best, "fold").withColumn("is_best", F.col("setting") == F.col("_best")).drop("_best")
+    scores = dataset.sparkSession.createDataFrame(done, "fold int, setting int, rmse double, error string")
+    best = scores.where("rmse IS NOT NULL").groupBy("fold").agg(F.min_by("setting", F.struct("rmse", "setting")).alias("_best"))
+    return scores.join(best, "fold", "left").withColumn("is_best", F.coalesce(F.col("setting") == F.col("_best"), F.lit(False))).drop("_best")
 
 
 def grid_summary(scores: DataFrame) -> DataFrame:

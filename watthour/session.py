@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # UTC keeps timestamp <-> timestamp_ntz casts free of offsets; AQE re-plans joins
@@ -34,11 +32,14 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; make one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Set and return the checkpoint folder that the cluster names; None where it names none.
+
+    A folder of the driver's own would be unreachable for executors, so none is made.
+    """
     current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = named or tempfile.mkdtemp(prefix="watthour-checkpoint-")
-        spark.sparkContext.setCheckpointDir(current)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if current is None and named:
+        spark.sparkContext.setCheckpointDir(named)
+        current = named
     return current
