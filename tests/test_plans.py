@@ -54,6 +54,21 @@ def test_a_run_stores_forecasts_of_all_series_once(spark, tmp_path, hourly, fitt
         daily_run(hourly, date(2020, 5, 24), date(2020, 5, 24), fit, short, "short", at("2020-05-24"), path, keys=["plant"])
 
 
+def test_a_short_series_is_reported_and_a_date_without_history_raises(spark, tmp_path, hourly, fitted):
+    rows, fit = fitted
+    model = fit_horizons(rows, fit.features, {1: target_names()[0]}, {"trees": 2, "depth": 2, "rate": 0.5, "rows": 1.0, "columns": 1.0})[1]
+    models = {h: model for h in range(1, 25)}
+    short = spark.createDataFrame([("c", t, v) for t, v in solar_days(24)[-30:]], SCHEMA)
+    path = str(tmp_path / "predictions")
+    got = daily_run(hourly.union(short), date(2020, 5, 25), date(2020, 5, 25), fit, models, "trees", at("2020-05-25"), path, keys=["plant"])
+    got = {r["plant"]: r for r in got.collect()}
+    assert set(got) == {"a", "b", "c"} and got["a"]["reason"] is None and len(got["a"]["forecast_24h"]) == 24
+    assert got["c"]["forecast_24h"] is None and "ac_power_lag_2d" in got["c"]["reason"]
+    assert tables.read_table(spark, path, tables.predictions_schema(hourly, ["plant"])).count() == 2
+    with pytest.raises(ValueError, match="no history before midnight of 2019-01-01"):
+        daily_run(hourly, date(2019, 1, 1), date(2019, 1, 1), fit, models, "trees", at("2020-05-25"), path, keys=["plant"])
+
+
 def test_reference_tables_by_version(spark, tmp_path, fitted):
     rows, fit = fitted
     path = str(tmp_path / "reference")

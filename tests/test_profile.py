@@ -128,3 +128,18 @@ def test_correlation_summary(spark):
     with pytest.raises(ValueError):
         correlation_pairs(df, ["x"])
     assert math.isclose(matrix.where("feature_1 = feature_2").first()["correlation"], 1.0)
+
+
+def test_a_frame_without_rows_has_a_template_row_for_every_column(spark):
+    empty = spark.createDataFrame([], "x double, y string")
+    got = {r["feature"]: r for r in ops.feature_profile(empty).collect()}
+    assert set(got) == {"x", "y"}
+    for row in got.values():
+        assert (row["count"], row["missing_percentage"], row["dtype"], row["is_constant"], row["outlier_count"]) == (0, 100.0, "unknown", True, 0)
+        assert row["mean"] is None and row["mode"] is None
+
+
+def test_positive_histogram_leaves_out_zero_and_below(spark):
+    df = spark.createDataFrame([(-5.0,), (0.0,), (1.0,), (2.0,), (None,)], "x double")
+    got = ops.histogram(df, {"x": 2}, positive=True).orderBy("bin").collect()
+    assert [(r["bin_start"], r["count"]) for r in got] == [(1.0, 1), (1.5, 1)]

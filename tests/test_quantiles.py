@@ -48,3 +48,21 @@ def test_large_group_goes_through_brackets(spark):
     row = exact_percentiles(df, ["feature"], "value", {"q1": 0.25, "q3": 0.75}).first()
     values = np.arange(300_000, dtype=float) ** 2
     np.testing.assert_allclose([row["q1"], row["q3"]], np.quantile(values, [0.25, 0.75]), rtol=1e-12)
+
+
+def test_every_small_size(spark):
+    rows = [(n, float(i * i)) for n in range(1, 60) for i in range(n)]
+    df = spark.createDataFrame(rows, "size int, value double").repartition(5)
+    for row in exact_percentiles(df, ["size"], "value", PROBS).collect():
+        expected = np.quantile(np.arange(row["size"], dtype=float) ** 2, list(PROBS.values()))
+        np.testing.assert_allclose([row[p] for p in PROBS], expected, rtol=1e-12)
+
+
+@pytest.mark.parametrize("low", [149_999, 150_000, 150_001])
+def test_percentile_between_distant_clusters(spark, low):
+    value = F.when(F.col("id") < low, F.col("id") * 1e-9).otherwise(1e12 + F.col("id"))
+    df = spark.range(300_000).select(F.lit("x").alias("feature"), value.cast("double").alias("value"))
+    row = exact_percentiles(df, ["feature"], "value", {"median": 0.5, "p99": 0.99}).first()
+    ids = np.arange(300_000, dtype=float)
+    expected = np.quantile(np.where(ids < low, ids * 1e-9, 1e12 + ids), [0.5, 0.99])
+    np.testing.assert_allclose([row["median"], row["p99"]], expected, rtol=1e-12)

@@ -202,3 +202,15 @@ def histogram(spark, sf):
     a = ops.histogram(table(spark, sf, "events"), {"value": 50})
     b = ops.histogram(lineitem(spark, sf), {"l_extendedprice": 30})
     return tidy(a.unionByName(b))
+
+
+@query("histogram_targets", tidy_sql("""SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, lo + g.bin * w AS bin_start,
+    lo + (g.bin + 1) * w AS bin_end, count(x.bin) AS count
+  FROM (SELECT feature, lo, w, unnest(range(50)) AS bin FROM edges) AS g
+    LEFT JOIN (SELECT feature, least(floor((value - lo) / w), 49) AS bin FROM powered JOIN edges USING (feature)) AS x
+    ON x.feature = g.feature AND x.bin = g.bin
+  GROUP BY 1, 2, 3, 4""", ["bin_start", "bin_end"], ctes=f"""{TARGET_SQL},
+powered AS (SELECT 'ac_power_' || horizon || 'h' AS feature, value FROM long WHERE value > 0),
+edges AS (SELECT feature, min(value) AS lo, (max(value) - min(value)) / 50 AS w FROM powered GROUP BY 1)"""))
+def histogram_targets(spark, sf):
+    return tidy(ops.histogram(dataset(spark, sf), dict.fromkeys(TARGETS, 50), positive=True))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +31,18 @@ def _cells(df: DataFrame, columns: Sequence[str], full: bool, complete: bool) ->
                  F.col(f"_r{min(i, j)}_{max(i, j)}").alias("correlation"))
         for i in n for j in n if full or i < j
     ])
-    return values.agg(*pairs, *spread).select(F.explode(cells).alias("p")).select("p.*")
+    holes = [F.count_if(reduce(or_, [F.col(f"_x{i}").isNull() for i in n])).alias("_holes")] if complete else []
+    if complete:
+        cells = F.when(F.col("_holes") == 0, cells).otherwise(F.raise_error(F.lit("missing values in a complete frame")))
+    return values.agg(*pairs, *spread, *holes).select(F.explode(cells).alias("p")).select("p.*")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """(feature_1, feature_2, correlation) for every pair, each in column order.
 
     A pair uses the rows where both are present.  ``complete`` says that no value is
-    missing, as in a training frame: deviations are then taken once per column.
+    missing, as in a training frame: deviations are then taken once per column.  It is checked
+    in the same pass, and a missing value raises.
     """
     return _cells(df, columns, False, complete)
 

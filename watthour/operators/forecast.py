@@ -73,8 +73,8 @@ def midnight_features(hourly: DataFrame, start: date, end: date, ts: str = TS, v
 
 def require_history(features: DataFrame, dates: Sequence[date]) -> None:
     """Raise if some asked-for date has no row before its midnight."""
-    served = {r[0] for r in features.select("prediction_date").distinct().collect()}
-    lacking = sorted(d for d in dates if d not in served)
+    asked = features.sparkSession.createDataFrame([(d,) for d in dates], "prediction_date date")
+    lacking = sorted(r[0] for r in asked.join(features, "prediction_date", "left_anti").collect())  # asked dates at most
     if lacking:
         raise ValueError(f"no history before midnight of {', '.join(map(str, lacking))}")
 

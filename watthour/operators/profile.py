@@ -31,6 +31,18 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+# fixed values: what a column without any row has
+TEMPLATE = {"dtype": "unknown", "count": 0, "missing_count": 0, "missing_percentage": 100.0, "unique_values": 0,
+            "is_constant": True, "outlier_count": 0, "outlier_percentage": 0.0}
+
+
+def _every(df: DataFrame, columns: Sequence[str], profile: DataFrame) -> DataFrame:
+    """A profile row for every column, also of a frame without rows."""
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    return names.join(profile, "feature", "left").withColumns(
+        {c: F.coalesce(c, F.lit(x)) for c, x in TEMPLATE.items()}).select(*profile.columns)
+
+
 def _dtype(df: DataFrame, columns: Sequence[str]) -> Column:
     names = F.create_map(*[F.lit(x) for c in columns for x in (c, df.schema[c].dataType.simpleString())])
     return names[F.col("feature")]
@@ -98,7 +110,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     n = F.col("count")
     variance = F.try_divide(F.col("_s2"), n - 1)
     m2, m3, m4 = (F.try_divide(F.col(s), n) for s in ("_s2", "_s3", "_s4"))
-    return spread.withColumns({
+    return _every(df, columns, spread.withColumns({
         "dtype": F.when(n > 0, _dtype(df, columns)).otherwise("unknown"),
         "variance": variance,
         "std": F.sqrt(variance),
@@ -107,7 +119,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         "kurtosis": adjusted_kurtosis(n, m2, m4),
         "outlier_percentage": F.coalesce(percent(F.col("outlier_count"), n), F.lit(0.0)),
     }).select("feature", "dtype", "count", "missing_count", "missing_percentage", "unique_values",
-              "is_constant", "mode", *NUMERIC_FIELDS, "outlier_count", "outlier_percentage")
+              "is_constant", "mode", *NUMERIC_FIELDS, "outlier_count", "outlier_percentage"))
 
 
 def profile_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -122,7 +134,7 @@ def profile_strings(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         .where((F.col("c") == F.col("_top")) & F.col("value").isNotNull())
         .groupBy("feature").agg(F.min("value").alias("mode"))
     )
-    return (
+    return _every(df, columns, (
         base.join(F.broadcast(commonest), "feature", "left")
         .withColumns({
             "dtype": F.when(F.col("count") > 0, _dtype(df, columns)).otherwise("unknown"),
@@ -132,7 +144,7 @@ def profile_strings(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         })
         .select("feature", "dtype", "count", "missing_count", "missing_percentage", "unique_values",
                 "is_constant", "mode", *NUMERIC_FIELDS, "outlier_count", "outlier_percentage")
-    )
+    ))
 
 
 def feature_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -244,10 +256,11 @@ def target_stats_by_horizon(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
-    """Equal-width bins from minimum to maximum per column, empty bins included."""
+def histogram(df: DataFrame, bins: dict[str, int], positive: bool = False) -> DataFrame:
+    """Equal-width bins from minimum to maximum per column, empty bins included; ``positive``
+    leaves out values of 0 and below."""
     columns = list(bins)
-    long = to_long(df, columns).where(F.col("value").isNotNull())
+    long = to_long(df, columns).where(F.col("value") > 0 if positive else F.col("value").isNotNull())
     number = F.create_map(*[F.lit(x) for item in bins.items() for x in item])
     edges = long.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")

@@ -1,10 +1,12 @@
 """Exact percentiles without sorting a group in one task.
 
-A sketch gives, for each wanted percentile, two values that are sure to enclose it.
-Rows between those brackets are only counted; the few inside one are tallied by value
-and cut into equal-width slots, and only the slots that hold the wanted ranks are
-sorted.  The rows are read twice, and what is shuffled is the bracket contents, whatever
-the distribution of values or the size of a group.
+A sketch gives, for each wanted percentile, two values that enclose it up to one
+neighbour.  Rows between those brackets are only counted, with the smallest and the
+largest value of each gap, which are the neighbours; the few inside one are tallied by
+value and cut by a second sketch into slots of about as many values each, and only the
+slots that hold the wanted ranks are sorted.  The rows are read twice, and what is
+shuffled is the bracket contents, whatever the distribution of values or the size of a
+group.
 """
 
 from __future__ import annotations
@@ -19,9 +21,7 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 # the sketch is off by at most 1/accuracy of the rows in rank; brackets allow three times that
 SLACK = 3 / SKETCH_ACCURACY
-# in smaller groups that is less than a few ranks, so the whole group is the bracket
-SMALL_GROUP = 2 * SKETCH_ACCURACY
-SLOTS = 1024
+SLOTS = 256
 
 
 def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
@@ -37,13 +37,12 @@ def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dic
     data = rows.withColumn("_v", F.col(value).cast("double"))
     marks = [m for _, p in wanted for m in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))]
     sketch = data.groupBy(*by).agg(
-        F.count("_v").alias("_size"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_marks"),
         *[c.alias(name) for name, c in also.items()],
     )
-    small = F.col("_size") <= SMALL_GROUP
-    low = [F.when(small | F.lit(p <= SLACK), F.col("_min")).otherwise(F.col("_marks")[2 * i]) for i, p in wanted]
-    high = [F.when(small | F.lit(p >= 1 - SLACK), F.col("_max")).otherwise(F.col("_marks")[2 * i + 1]) for i, p in wanted]
+    low = [F.col("_min") if p <= SLACK else F.col("_marks")[2 * i] for i, p in wanted]
+    high = [F.col("_max") if p >= 1 - SLACK else F.col("_marks")[2 * i + 1] for i, p in wanted]
     sketch = sketch.select(
         *by, *also, *[c.alias(f"_lo{i}") for i, c in enumerate(low)], *[c.alias(f"_hi{i}") for i, c in enumerate(high)])
     v = F.col("_v")
@@ -51,17 +50,15 @@ def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dic
     # rises with v and is the same for two values only if no bracket edge lies between them
     zone = sum(((v >= F.col(f"_lo{i}")).cast("int") + (v > F.col(f"_hi{i}")).cast("int") for i, _ in wanted), F.lit(0))
 
-    def slot(i: int) -> Column:
-        share = F.try_divide(v - F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}"))
-        return F.coalesce(F.least(F.floor(share * SLOTS).cast("int"), F.lit(SLOTS - 1)), F.lit(0))
-
-    near = data.select(*by, "_v").where(v.isNotNull()).join(F.broadcast(sketch), list(by)).select(
-        *by, *also, zone.alias("_zone"),
-        F.coalesce(*[F.when(inside[i], slot(i)) for i, _ in wanted], F.lit(-1)).alias("_slot"),
-        F.when(reduce(or_, inside), v).alias("_v"),
-    )
-    tally = near.groupBy(*by, "_zone", "_slot", "_v").agg(
-        F.count("*").alias("_c"), *[F.max(name).alias(name) for name in also])
+    tally = data.select(*by, "_v").where(v.isNotNull()).join(F.broadcast(sketch), list(by)).select(
+        *by, *also, zone.alias("_zone"), v.alias("_any"), F.when(reduce(or_, inside), v).alias("_v"),
+    ).groupBy(*by, "_zone", "_v").agg(
+        F.count("*").alias("_c"), F.min("_any").alias("_least"), F.max("_any").alias("_most"),
+        *[F.max(name).alias(name) for name in also])
+    cuts = tally.groupBy(*by, "_zone").agg(
+        F.percentile_approx("_v", [i / SLOTS for i in range(1, SLOTS)], SKETCH_ACCURACY).alias("_cuts"))
+    tally = tally.join(F.broadcast(cuts), [*by, "_zone"]).withColumn(
+        "_slot", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= v)), F.lit(-1))).drop("_cuts")
 
     counts = tally.groupBy(*by, "_zone", "_slot").agg(F.sum("_c").alias("_in"))
     group = Window.partitionBy(*by)
@@ -85,7 +82,10 @@ def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, probs: dic
     placed = last.withColumn("_upto", F.col("_start") + F.sum("_c").over(within))
 
     def at(place: Column) -> Column:
-        return F.max(F.when((F.col("_upto") > place) & (F.col("_upto") - F.col("_c") <= place), v))
+        # of a gap only the first and the last value are known
+        first, last = F.col("_upto") - F.col("_c"), F.col("_upto") - 1
+        known = F.coalesce(v, F.when(place == first, F.col("_least")), F.when(place == last, F.col("_most")))
+        return F.max(F.when((last >= place) & (first <= place), known))
 
     ends = placed.groupBy(*by).agg(
         F.max("_n").alias("_n"), *[F.max(name).alias(name) for name in also],

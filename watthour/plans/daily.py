@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watthour.operators.drift import DRIFT_THRESHOLD, detect_drift, drift_log_rows, drift_summary
 from watthour.operators.dataset import align_columns
 from watthour.operators.forecast import (
-    forecast_day_metrics, forecast_validate, midnight_features, naive_forecast,
+    forecast_day_metrics, forecast_validate, midnight_features, naive_forecast, require_history,
 )
 from watthour.operators.models import predict_horizons
 from watthour.operators.scaling import apply_scaler
@@ -26,8 +27,9 @@ def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, mo
     """(features, forecasts) of fitted models at each midnight.
 
     Features are scaled as in training unless ``scaled`` is false.  Training rows carry
-    the calendar of their own hour; ``calendar_at="anchor"`` does the same here.  Rows whose history is
-    too short for some feature get no forecast.
+    the calendar of their own hour; ``calendar_at="anchor"`` does the same here.  A row whose history is
+    too short for some feature has a NULL forecast, and ``reason`` names the missing features
+    (NULL otherwise).
     """
     raw = midnight_features(hourly, start, end, ts, value, keys, fitted.lag_days, fitted.rolling_days,
                             calendar_at)
@@ -35,9 +37,13 @@ def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, mo
     features = align_columns(raw, fitted.features, ids)
     if scaled and fitted.params is not None:
         features = apply_scaler(features, fitted.params, fitted.method)
-    predicted = predict_horizons(features.dropna(), fitted.features, models)
-    forecast = F.array(*[F.col(f"pred_{h}") for h in sorted(models)]).alias("forecast_24h")
-    return features, predicted.select(*ids, forecast)
+    lacking = F.array_compact(F.array(*[
+        F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(c)) for c in fitted.features]))
+    reason = F.when(F.size(lacking) > 0, F.concat(F.lit("missing features: "), F.concat_ws(", ", lacking)))
+    judged = features.withColumn("reason", reason).fillna(0, subset=list(fitted.features))
+    predicted = predict_horizons(judged, fitted.features, models)
+    forecast = F.array(*[F.col(f"pred_{h}") for h in sorted(models)])
+    return features, predicted.select(*ids, F.when(F.col("reason").isNull(), forecast).alias("forecast_24h"), "reason")
 
 
 def prediction_rows(forecasts: DataFrame, model_name: str | Column, features_count: int, at: Column,
@@ -64,11 +70,17 @@ def daily_run(hourly: DataFrame, start: date, end: date, fitted: Fitted, models:
               at: Column, predictions_path: str, reference: DataFrame | None = None,
               drift_path: str | None = None, ts: str = TS, value: str = VALUE, keys: Sequence[str] = (),
               calendar_at: str = "noon") -> DataFrame:
-    """Forecast, check, store, and score drift for every series and date; returns the
-    stored rows.  A forecast of the wrong length or a key that is taken stops the run."""
+    """Forecast, check, store, and score drift for every series and date.
+
+    Returns a row for every series and date with history; those without a forecast say why
+    in ``reason`` and are not stored.  A date before which no series has a row, a forecast of
+    the wrong length or a key that is taken stops the run.
+    """
     features, forecasts = model_forecast(hourly, start, end, fitted, models, ts, value, keys, calendar_at=calendar_at)
+    forecasts = forecasts.persist(StorageLevel.MEMORY_AND_DISK)  # made once, read by all checks
+    require_history(forecasts, [start + timedelta(days=i) for i in range((end - start).days + 1)])
     rows = prediction_rows(forecasts, model_name, len(fitted.features), at)
-    save_predictions(rows, predictions_path, keys)
+    save_predictions(rows.where("reason IS NULL").drop("reason"), predictions_path, keys)
     quick_drift_check(features.drop(*keys), reference, at, drift_path)
     return rows
 
