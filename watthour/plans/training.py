@@ -54,7 +54,9 @@ def fit_dataset(readings: DataFrame, ts: str = TS, value: str = VALUE, keys: Seq
     names = feature_names(rows, ts, keys, target_names(horizon))
     params = None
     if method != "none":
-        params = fit_scaler(rows if fit_rows is None else rows.where(fit_rows), numeric_names(rows, names))
+        learned = fit_scaler(rows if fit_rows is None else rows.where(fit_rows), numeric_names(rows, names))
+        # one row per column, kept as values: later runs must not read the training rows again
+        params = rows.sparkSession.createDataFrame(learned.collect(), learned.schema)
         rows = apply_scaler(rows, params, method)
     return rows, Fitted(params, tuple(names), tuple(lag_days), tuple(rolling_days), method)
 
