@@ -143,3 +143,10 @@ def test_positive_histogram_leaves_out_zero_and_below(spark):
     df = spark.createDataFrame([(-5.0,), (0.0,), (1.0,), (2.0,), (None,)], "x double")
     got = ops.histogram(df, {"x": 2}, positive=True).orderBy("bin").collect()
     assert [(r["bin_start"], r["count"]) for r in got] == [(1.0, 1), (1.5, 1)]
+
+
+def test_a_frame_called_complete_is_checked(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, None), (3.0, 6.0)], "x double, y double")
+    with pytest.raises(Exception, match="missing values in a complete frame"):
+        correlation_pairs(df, ["x", "y"], complete=True).collect()
+    assert correlation_pairs(df, ["x", "y"]).first()["correlation"] == pytest.approx(1.0)
