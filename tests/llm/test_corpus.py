@@ -77,7 +77,7 @@ def test_lm_score(spark):
 
 def test_language_forward_and_edges(spark):
     rows = [(i, t, lang, None, 0, None, None, None) for i, (t, lang) in enumerate([
-        ("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "en"), ("", "de"), ("123 !!", "en"), ("und der hund", None), ("the dog", "de")])]
+        ("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "en"), ("", "de"), ("123 !!", "en"), ("und der hund", None), ("the dog", "de"), ("½ ²", "en")])]
     docs = frame(spark, rows)
     model = train(docs.where("doc_id < 2"), PIECES)
     known = {v: i for i, v in enumerate(pieces(PIECES).values)}
@@ -98,7 +98,7 @@ def test_language_forward_and_edges(spark):
     tried = [b"hund", b"a" * 100, "漢字".encode(), b"x"]
     assert np.allclose(forward(model, tried), [brute(w) for w in tried])
     found = {r.doc_id: (r.lang_pred, r.score) for r in predict(docs, model).collect()}
-    assert [found[i][0] for i in range(7)] == ["en", "de", "und", "und", "und", "de", "en"]
+    assert [found[i][0] for i in range(8)] == ["en", "de", "und", "und", "und", "de", "en", "und"]
     assert found[2][1] == 0 and 0.5 < found[0][1] <= 1
     assert {r.lang_pred for r in predict(docs, train(docs.limit(0), PIECES)).collect()} == {"und"}
 
