@@ -148,6 +148,7 @@ def _node(own: np.ndarray) -> int:
 
 def _sets(id_col: str, text_col: str):
     def run(batches):
+        remembered("sets")
         for batch in batches:
             for part in slices(batch, text_col):
                 hashes, bounds = shingles(*joined(part.column(text_col)))

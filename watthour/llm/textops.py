@@ -153,9 +153,12 @@ CACHES: dict[str, dict] = {}  # what an operator remembers in a worker, by opera
 
 
 def remembered(operator: str) -> dict:
-    """The operator's memory in this worker; those of other operators are let go."""
-    for other in [o for o in CACHES if o != operator]:
+    """The operator's memory in this worker; those of other operators are let go, back to the system."""
+    others = [o for o in CACHES if o != operator]
+    for other in others:
         del CACHES[other]
+    if others:
+        trim()
     return CACHES.setdefault(operator, {})
 
 
