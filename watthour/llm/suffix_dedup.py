@@ -157,6 +157,11 @@ def _ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _view(cell: pa.BinaryScalar) -> pa.Buffer:
+    """The bytes of a cell, not copied."""
+    return cell.as_buffer()
+
+
 def _rank(ids: np.ndarray, version: np.ndarray) -> np.ndarray:
     order = np.lexsort((version, ids))
     new = np.concatenate([[0], (ids[order][1:] != ids[order][:-1]) | (version[order][1:] != version[order][:-1])])
@@ -168,12 +173,12 @@ def _rank(ids: np.ndarray, version: np.ndarray) -> np.ndarray:
 def _settle(table: pa.Table) -> pa.Table:
     """Of one bucket of grams: which runs are repeated, and which need comparing as windows."""
     remembered("suffixes")
-    out = [pa.ipc.open_stream(f).read_all() for f in table.column("flags").to_pylist() if f]
+    out = [pa.ipc.open_stream(f).read_all() for f in map(_view, table.column("flags")) if f.size]
     trim()
     schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int32()), ("first", pa.int64()), ("span", pa.int32()), ("kind", pa.int32())])
     entries, ids, versions, text = [], [], [], []
-    for e, i, v in zip(*(table.column(c).to_pylist() for c in ("entries", "ids", "versions"))):
-        if e:
+    for e, i, v in zip(*(map(_view, table.column(c)) for c in ("entries", "ids", "versions"))):
+        if e.size:
             e = np.frombuffer(e, dtype=ENTRY)
             text.append(((e["gram"] >> U64(4)) & U64(0xFFF)).astype(np.int64) + sum(map(len, ids)))
             entries.append(e)
@@ -186,8 +191,9 @@ def _settle(table: pa.Table) -> pa.Table:
         near = np.zeros(len(order) + 1, dtype=bool)
         near[1:-1] = gram[order][1:] == gram[order][:-1]
         order = order[near[1:] | near[:-1] | more[order]]
+        e, text, gram, more = (x[order] for x in (e, text, gram, more))  # most grams occur once
         phrase, at, rank = e["phrase"] >> U64(16), e["at"].astype(np.int64), _rank(ids, versions)
-        order = order[np.lexsort((at[order], rank[text[order]], gram[order]))]
+        order = np.lexsort((at, rank[text], gram))
         g = gram[order]
         group = np.cumsum(np.concatenate([[True], g[1:] != g[:-1]])) - 1 if len(g) else np.zeros(0, np.int64)
         start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else group
@@ -327,9 +333,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
         F.hash(F.coalesce(text_col, F.lit(""))).alias("version"), F.coalesce(text_col, F.lit("")).alias("text"))
     key = ["doc_id", "version"]
+    # buckets are dealt out by hand, so that a task never holds several that were put together
     parsed = docs.select(*key, "text").mapInArrow(
         _parse(length, buckets), "bucket int, entries binary, ids binary, versions binary, flags binary")
-    flags = stage(parsed.groupBy("bucket").applyInArrow(_settle, FLAGS), "phrases")
+    flags = stage(parsed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_settle, FLAGS), "phrases")
 
     def listed(df: DataFrame, packed: str) -> DataFrame:
         return df.select(*key, F.expr(packed).alias("run")).groupBy(*key).agg(F.collect_list("run").alias("runs")).hint("shuffle_hash")
@@ -337,7 +344,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = listed(flags.where(F.col("kind") > SETTLED), "first << 10 | cast(span as long) << 2 | cast(kind as long)")
     compared = docs.join(wanted, key).select("carried", *key, "text", "runs").mapInArrow(
         _windows(length, buckets), "bucket int, hashes binary, places binary, ids binary, versions binary")
-    late = compared.groupBy("bucket").applyInArrow(_repeated, "doc_id long, version int, first long, span long")
+    late = compared.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_repeated, "doc_id long, version int, first long, span long")
     runs = flags.where(F.col("kind") == SETTLED).select(*key, "first", F.col("span").cast("long")).unionByName(late)
     gone = listed(runs, "first << 20 | span")
     # both joins take the texts in the same columns and partitions, so that one exchange serves both
