@@ -87,7 +87,8 @@ def _runs(data: np.ndarray, bounds: np.ndarray, length: int):
     start = np.flatnonzero(new)
     first, last, trigger = p[start], p[np.append(start[1:], len(p)) - 1], trigger[start]
     place = ((trigger - first) << 20 | (last - first)).astype(U64)
-    return trigger, first, last, gram[trigger], mix(range_hash(c, first, last + length) + mix(place))
+    # triggers have small hashes; scrambled, they fall into all buckets alike
+    return trigger, first, last, mix(gram[trigger]), mix(range_hash(c, first, last + length) + mix(place))
 
 
 ENTRY = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("at", "<u4")])  # gram 48 | text 12 | rest 1; phrase 48 | 8 | 8
