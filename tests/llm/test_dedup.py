@@ -71,6 +71,19 @@ def test_remove_repeats_ids(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_remove_repeats_equal_rows(spark, parts):
+    """Rows equal in id and text are one document, not earlier than itself; a repeat inside it goes."""
+    draw = random.Random(2)
+    text, inner = ("".join(draw.choices("abcdefgh", k=k)) for k in (400, 150))
+    rows = [(5, text, *[None] * 6)] * 2
+    found = [(r.doc_id, r.n_removed) for r in remove_repeats(frame(spark, rows).repartition(parts)).collect()]
+    assert found == [(5, 0), (5, 0)]
+    rows = [(5, inner + text + inner, *[None] * 6)] * 40 + [(None, "".join(draw.choices("xyz", k=300)), *[None] * 6)] * 2 + [(9, text, *[None] * 6)]
+    found = sorted(((r.doc_id, r.n_removed) for r in remove_repeats(frame(spark, rows).repartition(parts)).collect()), key=str)
+    assert found == [(5, 150)] * 40 + [(9, 400)] + [(None, 0)] * 2
+
+
 def test_near_pairs(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(120, 8))

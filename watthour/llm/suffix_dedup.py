@@ -118,9 +118,13 @@ def _parse(length: int, buckets: int):
                 rank = _rank(ids, version)
                 order = np.lexsort((at, rank[text], phrase, gram))
                 same = (gram[order][1:] == gram[order][:-1]) & (phrase[order][1:] == phrase[order][:-1])
+                # a place listed twice is one of rows equal in id and text: no earlier place, and shipped once
+                twin = same & (rank[text][order][1:] == rank[text][order][:-1]) & (at[order][1:] == at[order][:-1])
                 again = np.zeros(len(gram), dtype=bool)
-                again[order[1:][same]] = True
-                kept = np.flatnonzero(~again)
+                again[order[1:][same & ~twin]] = True
+                kept = ~again
+                kept[order[1:][twin]] = False
+                kept = np.flatnonzero(kept)
                 kept = kept[np.lexsort((at[kept], rank[text[kept]], gram[kept]))]
                 start = np.flatnonzero(np.concatenate([[True], gram[kept][1:] != gram[kept][:-1]]))
                 nth = np.arange(len(kept)) - np.repeat(start, np.diff(np.append(start, len(kept))))
@@ -199,13 +203,15 @@ def _settle(table: pa.Table) -> pa.Table:
         group = np.cumsum(np.concatenate([[True], g[1:] != g[:-1]])) - 1 if len(g) else np.zeros(0, np.int64)
         start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else group
         by = np.lexsort((np.arange(len(order)), phrase[order], group))
-        again = np.zeros(len(order), dtype=bool)
+        again, twin = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
         again[by[1:]] = (group[by][1:] == group[by][:-1]) & (phrase[order][by][1:] == phrase[order][by][:-1])
+        place = order[by]  # as in _parse, twins count once
+        twin[by[1:]] = again[by[1:]] & (rank[text[place]][1:] == rank[text[place]][:-1]) & (at[place][1:] == at[place][:-1])
         kind = np.where(again, SETTLED, OPEN)
         kind[start] = WITNESS
         need = np.zeros(len(start), dtype=bool)
         np.logical_or.at(need, group, (kind == OPEN) | more[order])
-        keep = (kind != WITNESS) | need[group]
+        keep = ((kind != WITNESS) | need[group]) & ~twin
         order, kind = order[keep], kind[keep].astype(np.int32)
         lead, span = ((e["phrase"][order] >> U64(k) & U64(255)).astype(np.int64) for k in (8, 0))
         out.append(pa.table([
