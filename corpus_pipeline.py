@@ -20,7 +20,6 @@ from watthour.llm.queries import table, tokenizer
 from watthour.llm.staging import stage
 from watthour.llm.suffix_dedup import remove_repeats
 
-NULL_ID = -(2**63)
 ORACLE_SQL = None  # no stage but the join can be said in SQL
 
 
@@ -32,18 +31,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by similarity the one with the smallest id stays.
+    """Of documents connected by similarity one row stays: the smallest id, then the smallest hash of the text.
 
-    Of rows that repeat an id one stays, by a hash of the text.  Rows with a null id stay if
-    no other id is in their group.
+    Null ids come last.  Rows are told apart by id and text, so unlinked rows that share an
+    id all stay; rows equal in both are one group.  Texts without words link with nothing and stay.
     """
     names = docs.columns
-    known = F.coalesce(F.col("doc_id"), F.lit(NULL_ID))
-    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(known.alias("__id")).distinct()
-    apart = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    nth = F.row_number().over(Window.partitionBy("__id", "__apart").orderBy("__hash"))
-    rows = docs.withColumns({"__id": known, "__apart": apart, "__hash": F.xxhash64("text")})
-    return rows.join(kept, "__id", "left_semi").withColumn("__nth", nth).where("__nth = 1").select(*names)
+    key = ["__null", "__id", "__version"]
+    keyed = lambda df, version: df.withColumns({
+        "__null": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0)).cast("long"), "__version": version})
+    found = keyed(jaccard_components(docs, keys=True).where("component IS NOT NULL"), F.col("version"))
+    kept = found.groupBy("component").agg(F.min(F.struct(*key)).alias("row")).select("row.*")
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*names)))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = keyed(docs.where(worded), F.xxhash64("text")).join(kept, key, "left_semi")
+    return rows.withColumn("__nth", nth).where("__nth = 1").select(*names).unionByName(docs.where(~worded))
 
 
 @pandas_udf(StringType())

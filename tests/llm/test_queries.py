@@ -24,6 +24,24 @@ def test_language_on_held_out_documents(spark):
     assert held and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
+def test_join_keeps_one_row_of_each_component(spark):
+    """Unrelated rows of one id all stay; of near copies one stays, with null ids too."""
+    one = corpus_pipeline.STAGES[1][1]
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(7, "first text of the id seven"), (7, "quite another one under this id"), (7, "first text of the id seven"),
+             (None, base), (None, base + " x"), (None, base + " y"), (None, "alone without any id at all"),
+             (None, "near to an id " + base), (9, "near to an id " + base + " z"), (8, "   "), (8, None)]
+    docs = frame(spark, [(i, t, *[None] * 6) for i, t in texts])
+    kept = sorted(((r.doc_id, r.text) for r in one(spark, docs, SF_DIR).collect()), key=str)
+    linked = [t for _, t in kept if t and base in t]
+    assert len(linked) == 1 and (9, linked[0]) in kept  # all of them are near
+    assert [r for r in kept if r[1] not in linked] == sorted(
+        [(7, "first text of the id seven"), (7, "quite another one under this id"), (None, "alone without any id at all"),
+         (8, "   "), (8, None)], key=str)
+    apart = [(None, base), (None, base + " x"), (None, " ".join(f"v{i}" for i in range(60)))]
+    assert len(one(spark, frame(spark, [(i, t, *[None] * 6) for i, t in apart]), SF_DIR).collect()) == 2
+
+
 def test_stages(spark):
     """Every stage on a corpus with nulls, repeats and empties: columns stay, decisions show."""
     docs = frame(spark, corpus(seed=12) + [(3, "again under the same id", "en", "s1", 0, None, None, None)])

@@ -146,7 +146,7 @@ def _node(own: np.ndarray) -> int:
     return int(mix(total)[0].view(np.int64))
 
 
-def _sets(id_col: str, text_col: str):
+def _sets(text_col: str, *carried: str):
     def run(batches):
         remembered("sets")
         for batch in batches:
@@ -154,8 +154,8 @@ def _sets(id_col: str, text_col: str):
                 hashes, bounds = shingles(*joined(part.column(text_col)))
                 nodes = [_node(hashes[a:b]) for a, b in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(id_col), pa.array(np.diff(bounds), pa.int64()), pa.array(nodes, pa.int64())],
-                    names=["doc_id", "n_shingles", "node"])
+                    [*map(part.column, carried), pa.array(np.diff(bounds), pa.int64()), pa.array(nodes, pa.int64())],
+                    names=[*carried, "n_shingles", "node"])
     return lean(run)
 
 
@@ -343,7 +343,7 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(edges[:, 0]), pa.array(edges[:, 1])], schema=EDGES)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row: 5-word shingles, similarity >= 0.8.
 
     Words are runs of bytes other than space and \\t..\\r, with A-Z folded.  Null and empty
@@ -351,11 +351,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component_id`` is the smallest id reachable by links.  Rows that repeat an id are rows
     of their own; a null id stays null and names no component (a component of null ids only
     is null).  An empty table gives an empty one; other columns are not looked at.
+    With ``keys`` two columns more: ``version``, a hash of the text, which tells rows of an id
+    apart, and ``component``, equal for the rows of one component whatever their ids (null
+    where there are no shingles).
     """
     buckets = partitions(docs.sparkSession)
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = stage(docs.mapInArrow(_sets("doc_id", "text"), "doc_id long, n_shingles long, node long"), "sets")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    sets = stage(docs.mapInArrow(_sets("text", "doc_id", "version"), "doc_id long, version long, n_shingles long, node long"), "sets")
     index = docs.select("text").mapInArrow(
         _index("text", buckets), "bucket int, entries binary, nodes binary, sizes binary, voids binary")
     found = stage(index.groupBy("bucket").applyInArrow(
@@ -364,11 +367,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = components(edges)
     # every set of a candidate group meets every other in one block pair
     blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    first = sets.where("n_shingles >= 4").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # by id and text: an id alone, null above all, may stand for many texts
+    first = sets.where("n_shingles >= 4").groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("row"))
     asked = stage(groups.join(blocks, "root").join(first, "node").select(
-        "doc_id", "node", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own")), "asked")
+        "row.doc_id", "row.version", "node", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own")), "asked")
     asked = asked.hint("shuffle_hash")  # it grows with the corpus: the same join at every size
-    texts = docs.join(asked, docs.doc_id.eqNullSafe(asked.doc_id)).select("node", "root", "blocks", "own", "text")
+    texts = docs.join(asked, docs.doc_id.eqNullSafe(asked.doc_id) & (docs.version == asked.version)).select("node", "root", "blocks", "own", "text")
     meet = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
     links = meet.groupBy(F.pmod(F.xxhash64("root", "i", "j"), F.lit(buckets)).alias("bucket")).applyInArrow(
@@ -377,10 +381,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labels = least.join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     best = labels.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = labels.join(best, "root").select("node", "component_id")
-    alone = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return sets.where("n_shingles > 0").join(classes, "node").select(
-        "doc_id", "n_shingles", "component_id").unionByName(alone)
+    classes = labels.join(best, "root").select("node", "component_id", F.col("root").alias("component"))
+    names = ["doc_id", "n_shingles", "component_id", *(["version", "component"] if keys else [])]
+    alone = sets.where("n_shingles = 0").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}).select(*names)
+    return sets.where("n_shingles > 0").join(classes, "node").select(*names).unionByName(alone)
 
 
 def _candidates(found: DataFrame) -> DataFrame:
