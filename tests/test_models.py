@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import solar_days
+from watthour.catalog import models as catalog
 from watthour.operators import models as ops
-from watthour.operators.dataset import feature_names, forecast_dataset, train_test_split
+from watthour.operators.dataset import CV_SPLITS, feature_names, forecast_dataset, train_test_split
 from watthour.operators.evaluate import overall_metrics
 from watthour.operators.features import target_names
 from watthour.session import ensure_checkpoint_dir
@@ -42,6 +43,20 @@ def test_grid_marks_one_best_per_fold_and_reports_failures(rows):
     assert ops.grid_summary(scores).first()["folds"] == 2
 
 
+def test_queries_train_every_horizon_with_the_settings_of_the_operators(monkeypatch):
+    """Without fitting: what the queries ask of the operators, on the rows as Spark reads them."""
+    asked = []
+    monkeypatch.setattr(catalog, "dataset", lambda *_: None)
+    monkeypatch.setattr(catalog, "_split", lambda *_: (None, None), raising=False)
+    monkeypatch.setattr(ops, "fit_horizons", lambda *a, **k: asked.append((a[2:], k)))
+    monkeypatch.setattr(ops, "grid_search", lambda *a, **k: asked.append((a[2:], k)))
+    catalog._fitted(None, None)
+    catalog.grid_search(None, None)
+    every = dict(enumerate(target_names(), start=1))
+    assert len(every) == 24
+    assert asked == [((every, ops.GBT_SETTINGS), {}), ((every, ops.GBT_GRID), {"splits": CV_SPLITS})]
+
+
 def test_checkpoint_folder_is_kept(spark):
     before = spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == before

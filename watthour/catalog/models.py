@@ -4,26 +4,26 @@ from pyspark.sql import functions as F
 
 from watthour.catalog.registry import SEASON_FLAGS, NUMERIC, TARGETS, dataset, query
 from watthour.operators import models as ops
-from watthour.operators.dataset import train_test_split
-from watthour.operators.evaluate import KEY_HORIZONS
+from watthour.operators.dataset import CV_SPLITS, train_test_split
 
 FEATURES = [*NUMERIC, *SEASON_FLAGS]
-KEY_TARGETS = {h: TARGETS[h - 1] for h in KEY_HORIZONS}
-# small ensembles: the number of trees is a setting of the model, not of the data
-QUICK = {"trees": 5, "depth": 4, "rate": 0.1, "rows": 0.8, "columns": 0.8}
-QUICK_GRID = (QUICK, {**QUICK, "trees": 3, "depth": 3, "rate": 0.2})
+HORIZONS = dict(enumerate(TARGETS, start=1))
 
 
-def _fitted(spark, sf):
+def _split(spark, sf):
     rows = train_test_split(dataset(spark, sf))
-    models = ops.fit_horizons(rows.where(F.col("split") == "train"), FEATURES, KEY_TARGETS, QUICK, partitions=1)
-    return rows.where(F.col("split") == "test"), models
+    return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
+
+
+def _fitted(spark, sf):
+    train, test = _split(spark, sf)
+    return test, ops.fit_horizons(train, FEATURES, HORIZONS, ops.GBT_SETTINGS)
 
 
 @query("gbt_forecast")
 def gbt_forecast(spark, sf):
     test, models = _fitted(spark, sf)
-    return ops.horizon_pairs(ops.predict_horizons(test, FEATURES, models), KEY_TARGETS, ["date_time"])
+    return ops.horizon_pairs(ops.predict_horizons(test, FEATURES, models), HORIZONS, ["date_time"])
 
 
 @query("feature_importance")
@@ -33,4 +33,4 @@ def feature_importance(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    return ops.grid_search(dataset(spark, sf), FEATURES, KEY_TARGETS, QUICK_GRID, splits=2, partitions=1)
+    return ops.grid_search(dataset(spark, sf), FEATURES, HORIZONS, ops.GBT_GRID, splits=CV_SPLITS)
