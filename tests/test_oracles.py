@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle import connect, differences
 from watthour.catalog import ORACLES, QUERIES
@@ -24,6 +25,18 @@ def test_matches_sql(spark, con, name):
     assert differences(df, con, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", ["drift_score", "drift_summary", "drift_log"])
+def test_drift_scores_every_event_type(spark, tmp_path, name):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    sixth = events.where("event_type = 'view'").withColumn("event_type", F.lit("a.sixth")).withColumn("value", F.col("value") * 3)
+    events.unionByName(sixth).coalesce(1).write.parquet(str(tmp_path / "all"))
+    next((tmp_path / "all").glob("*.parquet")).rename(tmp_path / "events.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    assert differences(df, connect(str(tmp_path)), ORACLES[name]) == []
+    if name == "drift_score":
+        assert df.where("feature = 'a.sixth'").count() == 2
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
     rows = QUERIES[name](spark, SF_DIR).collect()

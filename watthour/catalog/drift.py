@@ -3,11 +3,8 @@ from pyspark.sql import functions as F
 from watthour.catalog.registry import (
     EVENTS_AS_OF, HOURLY_KEY_SQL, KEY, at, hourly_by_key, query, tidy, tidy_sql,
 )
-from watthour.operators.drift import detect_drift, drift_log_rows, drift_summary
-from watthour.operators.profile import drift_reference, profile_numeric
+from watthour.operators.drift import drift_log_rows, drift_summary, moments, score_moments
 
-# The event types are the feature columns of the wide frame.
-TYPES = ["click", "error", "purchase", "signup", "view"]
 HALF = "2024-01-16"
 THRESHOLDS = (2.0, 0.1)
 
@@ -25,11 +22,12 @@ scores AS (SELECT feature, t.threshold, abs(cm - rm) / d
 
 
 def _scores(spark, sf):
-    wide = hourly_by_key(spark, sf).groupBy("date_time").pivot(KEY, TYPES).agg(F.first("ac_power"))
-    before = wide.where(F.col("date_time") < at(HALF))
-    after = wide.where(F.col("date_time") >= at(HALF))
-    reference = drift_reference(profile_numeric(before, TYPES))
-    return [detect_drift(after, reference, threshold=t) for t in THRESHOLDS]
+    # every event type of the table is a feature, so the frame stays long
+    long = hourly_by_key(spark, sf).select("date_time", F.col(KEY).alias("feature"), F.col("ac_power").alias("value"))
+    before = moments(long.where(F.col("date_time") < at(HALF)))
+    after = moments(long.where(F.col("date_time") >= at(HALF)))
+    reference = before.select("feature", F.col("current_mean").alias("mean"), F.col("current_std").alias("std"))
+    return [score_moments(after, reference, threshold=t) for t in THRESHOLDS]
 
 
 @query("drift_score", tidy_sql(
