@@ -24,8 +24,13 @@ ORACLE_SQL = None  # no stage but the join can be said in SQL
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found (null text, no letters) go; all others stay."""
+    """Documents in which no language is found (null text, no letters) go; all others stay.
+
+    Without any label there is no language to find, and texts with letters stay.
+    """
     model = train(docs, tokenizer("piece_bpe_32k.model"))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     named = predict(docs, model, keep={f"c{i}": F.col(c) for i, c in enumerate(docs.columns)})
     return named.where(F.col("lang_pred") != UNKNOWN).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 

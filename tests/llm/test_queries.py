@@ -24,6 +24,13 @@ def test_language_on_held_out_documents(spark):
     assert held and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
+def test_documents_without_labels_stay(spark):
+    texts = ["plain words", None, "", "12 ½ !?", "漢字"]
+    docs = frame(spark, [(i, t, *[None] * 6) for i, t in enumerate(texts)])
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 4]
+
+
 def test_join_keeps_one_row_of_each_component(spark):
     """Unrelated rows of one id all stay; of near copies one stays, with null ids too."""
     one = corpus_pipeline.STAGES[1][1]
