@@ -13,6 +13,7 @@ from watthour.llm.lm_score import stupid_backoff
 from watthour.llm.mixing import mix
 from watthour.llm.ngram_join import jaccard_components
 from watthour.llm.packing import pack
+from watthour.llm.quality import quality_rules
 from watthour.llm.rtree import hard_negatives
 from watthour.llm.sharding import place
 from watthour.llm.suffix_dedup import remove_repeats
@@ -74,6 +75,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -87,7 +93,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_packing, op3_suffix_array_dedup, op4_fingerprints, op5_sharding,
     op6_lm_score, op7_embedding_near_dedup, op8_language_id, op9_mixing, op10_token_counts,
-    op12_hard_negatives, op13_collocations)}
+    op11_quality_rules, op12_hard_negatives, op13_collocations)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 FOLD_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
