@@ -28,7 +28,8 @@ def gbt_forecast(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return ops.feature_importance(spark, _fitted(spark, sf)[1], FEATURES, top=15)
+    first = {1: HORIZONS[1]}  # the only horizon that is shown
+    return ops.feature_importance(spark, ops.fit_horizons(_split(spark, sf)[0], FEATURES, first), FEATURES, top=15)
 
 
 @query("grid_search")

@@ -1,22 +1,24 @@
-"""Boosted trees per horizon on MLlib, importances, and a search over time folds."""
+"""Boosted trees per horizon, importances, and a search over time folds.
+
+All horizons, settings and folds are fitted together by ``boosting``.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from watthour.operators.boosting import Boosted, boost, check
 from watthour.operators.dataset import CV_SPLITS, CV_TEST_ROWS, cv_folds
 from watthour.operators.evaluate import overall_metrics
 from watthour.schemas import TS
-from watthour.session import ensure_checkpoint_dir
 
-SEED = 42
 # fixed values: production settings of the model
 GBT_SETTINGS = {"trees": 50, "depth": 4, "rate": 0.1, "rows": 0.8, "columns": 0.8}
 # fixed values: the three settings that are searched
@@ -27,52 +29,55 @@ GBT_GRID = (
 )
 
 
-def _in_threads(work: Callable, items: Iterable, threads: int, spark) -> list:
-    """Run driver-side fits side by side; each is a series of distributed jobs."""
-    with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
+@dataclass(frozen=True)
+class HorizonModel:
+    """One horizon's trees of a fit."""
 
+    fit: Boosted
+    horizon: int
+    setting: int = 0
+    group: int = 0
 
-def with_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="_features").transform(df)
+    @property
+    def importances(self) -> np.ndarray:
+        """Share of each feature in the gain of all splits."""
+        return self.fit.importances(self.setting, self.group)[list(self.fit.targets).index(self.horizon)]
 
 
-def regressor(target: str, settings: dict, checkpoints: bool = True) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="_features", labelCol=target, maxIter=settings["trees"], maxDepth=settings["depth"],
-        stepSize=settings["rate"], subsamplingRate=settings["rows"],
-        featureSubsetStrategy=str(settings["columns"]), seed=SEED,
-        checkpointInterval=10 if checkpoints else -1,
-    )
+def fit_horizons(train: DataFrame, features: Sequence[str], targets: dict[int, str], settings: dict = GBT_SETTINGS,
+                 threads: int | None = None) -> dict[int, HorizonModel]:
+    """One independent model per horizon, all grown together over the same rows.
 
+    ``threads`` is without effect: there are no fits side by side any more.
+    """
+    fit = boost(train, features, targets, [settings])
+    return {h: HorizonModel(fit, h) for h in targets}
 
-def fit_horizons(train: DataFrame, features: Sequence[str], targets: dict[int, str],
-                 settings: dict = GBT_SETTINGS, threads: int = 4,
-                 partitions: int | None = None) -> dict[int, GBTRegressionModel]:
-    """One independent model per horizon over the same assembled rows.
 
-    Every tree level is a job over all partitions, so few rows want few of them; ``partitions``
-    brings the rows together in as many, and the default leaves them as they are.  Row samples
-    are drawn by partition: the trees depend on it.
-    """
-    spark = train.sparkSession
-    checkpoints = ensure_checkpoint_dir(spark) is not None  # trees cut their lineage there
-    rows = with_vector(train, features).select("_features", *targets.values())
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        compact = rows.coalesce(partitions) if partitions else rows
-        fitted = _in_threads(lambda h: regressor(targets[h], settings, checkpoints).fit(compact), targets, threads, spark)
-    finally:
-        rows.unpersist()
-    return dict(zip(targets, fitted))
-
-
-def predict_horizons(df: DataFrame, features: Sequence[str], models: dict[int, GBTRegressionModel]) -> DataFrame:
-    """Add ``pred_{h}`` for each model."""
-    out = with_vector(df, features)
-    for h, model in models.items():
-        out = model.copy().setPredictionCol(f"pred_{h}").transform(out)
-    return out.drop("_features")
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of an array column, with NaN for missing values."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+def predict_horizons(df: DataFrame, features: Sequence[str], models: dict[int, HorizonModel]) -> DataFrame:
+    """Add ``pred_{h}`` for each model; the trees travel with the task, the rows stay in place."""
+    features, fits = list(features), {}
+    for h, m in models.items():
+        if m.fit.features != features:
+            raise ValueError(f"the model of horizon {h} was fitted on other features")
+        fits.setdefault((id(m.fit), m.setting, m.group), (m, []))[1].append((h, m.horizon))
+    scorers = [([h for h, _ in own], m.fit.scorer(m.setting, m.group, [x for _, x in own])) for m, own in fits.values()]
+    names = [f"pred_{h}" for own, _ in scorers for h in own]
+
+    def run(batches):
+        for batch in batches:
+            x = _matrix(batch.column("_features"), len(features))
+            found = [pa.array(c) for _, score in scorers for c in score(x).T.copy()] if len(x) else [pa.array([], pa.float64())] * len(names)
+            kept = [c for c, n in zip(batch.columns, batch.schema.names) if n != "_features"]
+            yield pa.RecordBatch.from_arrays([*kept, *found], names=[*(n for n in batch.schema.names if n != "_features"), *names])
+
+    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+    return df.withColumn("_features", F.array(*[F.col(f).cast("double") for f in features])).mapInArrow(run, schema)
 
 
 def horizon_pairs(predicted: DataFrame, targets: dict[int, str], ids: Sequence[str]) -> DataFrame:
@@ -84,48 +89,70 @@ def horizon_pairs(predicted: DataFrame, targets: dict[int, str], ids: Sequence[s
     return predicted.select(*ids, F.explode(cells).alias("_p")).select(*ids, "_p.*")
 
 
-def feature_importance(spark, models: dict[int, GBTRegressionModel], features: Sequence[str],
+def feature_importance(spark, models: dict[int, HorizonModel], features: Sequence[str],
                        average: bool = False, top: int | None = None) -> DataFrame:
     """Importance per feature of the first horizon's model, or averaged over all."""
     chosen = list(models.values()) if average else [models[min(models)]]
-    totals = sum(m.featureImportances.toArray() for m in chosen) / len(chosen)
+    totals = sum(m.importances for m in chosen) / len(chosen)
     rows = [(name, float(x)) for name, x in zip(features, totals)]
     ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
     return ranked.limit(top) if top else ranked
 
 
+def _scored(fit: Boosted, numbers: Sequence[int]):
+    """(fold, setting, horizon, y, y_hat) of test rows under the models of their fold."""
+    horizons = list(fit.targets)
+
+    def run(batches):
+        scorers = {}
+        for batch in batches:
+            fold = batch.column("fold").to_numpy()
+            for name in np.unique(fold):
+                if name not in fit.groups:
+                    continue  # nothing to learn from: no forecast
+                own = batch.filter(pa.array(fold == name))
+                x, y = _matrix(own.column("_features"), len(fit.features)), _matrix(own.column("_targets"), len(horizons))
+                for s, number in enumerate(numbers):
+                    if (name, s) not in scorers:
+                        scorers[name, s] = fit.scorer(s, fit.groups.index(name), horizons)
+                    n = y.size
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, name, dtype=np.int32)), pa.array(np.full(n, number, dtype=np.int32)),
+                         pa.array(np.tile(np.array(horizons, dtype=np.int32), len(y))),
+                         pa.array(y.reshape(-1), mask=np.isnan(y.reshape(-1))), pa.array(scorers[name, s](x).reshape(-1))],
+                        names=["fold", "setting", "horizon", "y", "y_hat"])
+    return run
+
+
 def grid_search(dataset: DataFrame, features: Sequence[str], targets: dict[int, str],
                 grid: Sequence[dict] = GBT_GRID, ts: str = TS, splits: int = CV_SPLITS,
-                test_rows: int = CV_TEST_ROWS, threads: int = 4, keys: Sequence[str] = (),
-                partitions: int | None = None) -> DataFrame:
+                test_rows: int = CV_TEST_ROWS, keys: Sequence[str] = ()) -> DataFrame:
     """rmse of every setting on every time fold, with each fold's best marked.
 
-    Folds are cut in every series of ``keys``.  A setting that fails on a fold has a row with
-    null rmse and the message in ``error`` (empty otherwise); it is nobody's best.
+    Folds are cut in every series of ``keys``; all settings of all folds are one fit.  A setting
+    that can't be grown has rows with null rmse and the message in ``error`` (empty
+    otherwise), and so has a fold without rows; neither is anybody's best.
     """
-    folds = cv_folds(dataset, ts, keys, splits=splits, test_rows=test_rows).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(task: tuple[int, int]):
-        fold, number = task
-        part = folds.where(F.col("fold") == fold)
+    spark, problems = dataset.sparkSession, {}
+    for i, setting in enumerate(grid):
         try:
-            models = fit_horizons(part.where(F.col("role") == "train"), features, targets, grid[number], threads, partitions)
-            scored = predict_horizons(part.where(F.col("role") == "test"), features, models)
-            pairs = horizon_pairs(scored, targets, ["fold"])
-            return fold, number, overall_metrics(pairs).first()["rmse"], ""
-        except Exception as problem:  # noqa: BLE001 - a failed setting is reported, not fatal
-            return fold, number, None, str(problem) or type(problem).__name__
-
-    try:
-        tasks = [(k, i) for k in range(1, splits + 1) for i in range(len(grid))]
-        done = _in_threads(run, tasks, threads, dataset.sparkSession)
-    finally:
-        folds.unpersist()
-    if all(rmse is None for _, _, rmse, _ in done):
+            check(setting)
+        except ValueError as problem:
+            problems[i] = str(problem)
+    sound = [i for i in range(len(grid)) if i not in problems]
+    if not sound:
         raise RuntimeError("every setting failed on every fold")
-    scores = dataset.sparkSession.createDataFrame(done, "fold int, setting int, rmse double, error string")
-    best = scores.where("rmse IS NOT NULL").groupBy("fold").agg(F.min_by("setting", F.struct("rmse", "setting")).alias("_best"))
-    return scores.join(best, "fold", "left").withColumn("is_best", F.coalesce(F.col("setting") == F.col("_best"), F.lit(False))).drop("_best")
+    folds = cv_folds(dataset, ts, keys, splits=splits, test_rows=test_rows)
+    fit = boost(folds.where("role = 'train'"), features, targets, [grid[i] for i in sound], "fold")
+    wide = folds.where("role = 'test'").select(
+        "fold", *[F.array(*[F.col(c).cast("double") for c in cs]).alias(n) for n, cs in (("_features", features), ("_targets", targets.values()))])
+    pairs = wide.mapInArrow(_scored(fit, sound), "fold int, setting int, horizon int, y double, y_hat double")
+    rmse = overall_metrics(pairs, ["fold", "setting"]).select("fold", "setting", "rmse")
+    tried = spark.createDataFrame([(k, i, problems.get(i, "")) for k in range(1, splits + 1) for i in range(len(grid))], "fold int, setting int, error string")
+    scores = tried.join(rmse, ["fold", "setting"], "left").select(
+        "fold", "setting", "rmse", F.when(F.col("rmse").isNull() & (F.col("error") == ""), "no rows in this fold").otherwise(F.col("error")).alias("error"))
+    first = F.min(F.when(F.col("rmse").isNotNull(), F.struct("rmse", "setting"))).over(Window.partitionBy("fold"))
+    return scores.withColumn("is_best", F.coalesce(F.col("setting") == first["setting"], F.lit(False)))
 
 
 def grid_summary(scores: DataFrame) -> DataFrame:

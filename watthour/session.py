@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps timestamp <-> timestamp_ntz casts free of offsets; AQE re-plans joins
 # and splits skewed partitions from real sizes.
@@ -43,3 +46,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         spark.sparkContext.setCheckpointDir(named)
         current = named
     return current
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share.
+
+    It is the one in ``spark.checkpoint.dir``.  A local session, all of whose tasks see the
+    driver's disk, gets one of its own where none is named; elsewhere that is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="watthour-shared-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete the files of a frame from ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if folder.partition(":")[2].lstrip("/").startswith(shared_folder(spark).partition(":")[2].lstrip("/") or shared_folder(spark).lstrip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
