@@ -19,9 +19,9 @@ RANKS = public.path("byte_bpe_50k.tiktoken")
 def test_packing(spark):
     from tokenizers import Tokenizer
 
-    rows = corpus(seed=2)
+    added = ["hi <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|> \n b", "<|endoftext|", "x <|ENDOFTEXT|> <|endoftext|>\n\n"]
+    rows = corpus(seed=2) + [(9100 + i, text, *[None] * 6) for i, text in enumerate(added)]
     model = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     docs = {r[0]: model.encode(r[1] or "", add_special_tokens=False).ids + [1] for r in rows}
     out = packing.pack(frame(spark, rows), RANKS, with_ids=True).toPandas()
     for d, own in out.groupby("doc_id"):

@@ -36,6 +36,10 @@ SPACE = "\t-\r \x85\xa0  -     　"
 PARTS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+# Fixed value: what the tokenizer's file adds to its pieces, found before a text is split.
+ADDED = {"<|endoftext|>": 50256}
+
+
 class Ids(dict):
     """Little-endian ids of parts of texts; two generations of at most ``size`` parts are kept."""
 
@@ -47,6 +51,8 @@ class Ids(dict):
         self.encode = tiktoken.Encoding(
             "parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.size, self.old = size, {}
+        self.added = {text: pack_ids("<I", number) for text, number in ADDED.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(ADDED, key=len, reverse=True))) + ")")
 
     def __missing__(self, part: str) -> bytes:
         ids = self.old.get(part)
@@ -61,7 +67,9 @@ class Ids(dict):
         return ids
 
     def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, PARTS.findall(text)))
+        if not any(added in text for added in self.added):
+            return b"".join(map(self.__getitem__, PARTS.findall(text)))
+        return b"".join(self.added.get(piece) or b"".join(map(self.__getitem__, PARTS.findall(piece))) for piece in self.cut.split(text))
 
 
 def token_ids(path: str) -> Ids:
