@@ -130,7 +130,7 @@ def forward(model: Model, words: Sequence[bytes]) -> np.ndarray:
 class Words(dict):
     """Rows of word scores; starts afresh when full."""
 
-    def __init__(self, model: Model, size: int = 700_000):
+    def __init__(self, model: Model, size: int = 200_000):
         super().__init__()
         self.model, self.size = model, size
         self.scores = np.zeros((size, len(model.languages)), dtype=np.float32)

@@ -43,7 +43,7 @@ ADDED = {"<|endoftext|>": 50256}
 class Ids(dict):
     """Little-endian ids of parts of texts; two generations of at most ``size`` parts are kept."""
 
-    def __init__(self, path: str, size: int = 700_000):
+    def __init__(self, path: str, size: int = 120_000):
         import public_tokenizers
         import tiktoken
 
