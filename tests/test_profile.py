@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from watthour.operators import profile as ops
 from watthour.operators.correlation import correlation_matrix, correlation_pairs, correlation_summary, high_pairs
@@ -150,3 +151,30 @@ def test_a_frame_called_complete_is_checked(spark):
     with pytest.raises(Exception, match="missing values in a complete frame"):
         correlation_pairs(df, ["x", "y"], complete=True).collect()
     assert correlation_pairs(df, ["x", "y"]).first()["correlation"] == pytest.approx(1.0)
+
+
+def test_correlation_over_many_blocks_with_missing_values(spark):
+    """Blocks of 4 columns and three tasks, pairs over their common rows, constants within those."""
+    rng = np.random.default_rng(3)
+    x = 1e6 + rng.normal(size=(120, 10)).cumsum(axis=1)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7] = 5.5
+    x[:, 8] = np.nan
+    x[60:, 9] = 3.0
+    x[:60, 3] = np.nan  # 9 is constant where 3 is there
+    names = [f"c{i}" for i in range(10)]
+    df = spark.createDataFrame(x.tolist(), ", ".join(f"{n} double" for n in names)).repartition(3)
+    want = pd.DataFrame(x, columns=names).corr()
+    want.loc["c3", "c9"] = want.loc["c9", "c3"] = np.nan
+    got = {(r[0], r[1]): r[2] for r in correlation_matrix(df, names, block=4).collect()}
+    assert len(got) == 100
+    for (a, b), r in got.items():
+        assert (r is None) == bool(np.isnan(want.loc[a, b])), (a, b)
+        assert r is None or r == pytest.approx(want.loc[a, b], abs=1e-7)
+
+
+def test_correlation_of_three_hundred_columns(spark):
+    rows = spark.range(0, 20000, 1, 4).select(*[(F.pmod(F.xxhash64("id", F.lit(i // 3)), F.lit(1000)) + F.pmod(F.xxhash64("id", F.lit(1000 + i)), F.lit(300))).alias(f"c{i}") for i in range(300)])
+    pairs = correlation_pairs(rows, rows.columns)
+    assert pairs.count() == 300 * 299 // 2
+    assert {(r[0], r[1]) for r in high_pairs(pairs).collect()} == {(f"c{3 * k + a}", f"c{3 * k + b}") for k in range(100) for a, b in ((0, 1), (0, 2), (1, 2))}
