@@ -178,3 +178,17 @@ def test_correlation_of_three_hundred_columns(spark):
     pairs = correlation_pairs(rows, rows.columns)
     assert pairs.count() == 300 * 299 // 2
     assert {(r[0], r[1]) for r in high_pairs(pairs).collect()} == {(f"c{3 * k + a}", f"c{3 * k + b}") for k in range(100) for a, b in ((0, 1), (0, 2), (1, 2))}
+
+
+def test_drift_statistics_equal_the_slim_profile_without_shuffling_values(df):
+    numbers = [c for c in ("a", "b", "c", "d") if c in ops.numeric_columns(df)]
+    slim = ops.drift_statistics(df, numbers)
+    got = {r["feature"]: r.asDict() for r in slim.collect()}
+    want = {r["feature"]: r.asDict() for r in ops.drift_reference(ops.profile_numeric(df, numbers)).collect()}
+    assert got.keys() == want.keys()
+    for name, row in want.items():
+        for field, x in row.items():
+            assert got[name][field] == (x if x is None or field == "feature" else pytest.approx(x)), (name, field)
+    assert "hashpartitioning(feature#" in slim._jdf.queryExecution().executedPlan().toString()
+    keyed_by_value = [line for line in slim._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning" in line and "value#" in line]
+    assert keyed_by_value == []

@@ -110,7 +110,7 @@ def quality_summary(spark, sf):
     "SELECT feature, mean, std, min, max, q1, q3, median FROM profile WHERE mean IS NOT NULL",
     list(ops.DRIFT_FIELDS), DIGITS, f"WITH {PROFILE_SQL}"))
 def drift_reference(spark, sf):
-    return tidy(ops.drift_reference(ops.profile_numeric(lineitem(spark, sf), NUMBERS)), DIGITS)
+    return tidy(ops.drift_statistics(lineitem(spark, sf), NUMBERS), DIGITS)
 
 
 TARGET_SQL = f"WITH {DATASET_SQL}, long AS (" + " UNION ALL ".join(

@@ -222,6 +222,19 @@ def drift_reference(profile: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return profile.where(F.col("mean").isNotNull()).select(*keep, "feature", *DRIFT_FIELDS)
 
 
+def drift_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The same rows straight from the data: no full profile, and no shuffle of values.
+
+    Moments and extremes come with the sketch's pass; what is shuffled after that are the few
+    values inside the brackets of three percentiles.
+    """
+    columns = list(columns or numeric_columns(df))
+    found = exact_percentiles(
+        to_long(df, columns), ["feature"], "value", QUARTILES,
+        also={"mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"), "max": F.max("value")})
+    return found.select("feature", *DRIFT_FIELDS)
+
+
 def _with_horizon(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     long = to_long(df, targets, name="_target")
     number = F.create_map(*[F.lit(x) for h, t in enumerate(targets, start=1) for x in (t, h)])

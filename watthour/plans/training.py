@@ -15,7 +15,7 @@ from watthour.operators.dataset import (
 from watthour.operators.features import HORIZON, LAG_DAYS, ROLLING_DAYS, calendar_features, lag_features, target_names
 from watthour.operators.hourly import hourly_mean
 from watthour.operators.profile import (
-    drift_reference, feature_profile, quality_summary, target_stats, target_stats_by_horizon,
+    drift_statistics, feature_profile, quality_summary, target_stats, target_stats_by_horizon,
 )
 from watthour.operators.scaling import METHODS, apply_scaler, fit_scaler
 from watthour.schemas import TS, VALUE
@@ -81,7 +81,7 @@ def collect_reference(rows: DataFrame, features: Sequence[str], targets: Sequenc
     profile = feature_profile(x)
     out = {
         "feature_profile": profile,
-        "drift_reference": drift_reference(profile),
+        "drift_reference": drift_statistics(x),
         "data_quality": quality_summary(profile),
         "target_profile": target_stats(rows, targets),
         "target_profile_by_horizon": target_stats_by_horizon(rows, targets),
