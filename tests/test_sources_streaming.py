@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -77,3 +78,27 @@ def test_drift_of_each_micro_batch(spark, tmp_path):
     run.awaitTermination(120)
     row = spark.read.parquet(out).first()
     assert (row["feature_name"], row["drift_detected"], row["drift_score"]) == ("x", True, 9.0)
+
+
+def test_intermediate_tables_go_to_the_named_folder_or_nowhere(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from watthour.session import drop_written, shared_folder, written
+
+    def session(master, named):
+        conf = {} if named is None else {"spark.checkpoint.dir": named}
+        return SimpleNamespace(conf=SimpleNamespace(get=conf.get, set=conf.__setitem__), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "hdfs:/shared/")) == "hdfs:/shared"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn", None))
+    local = session("local[2]", None)
+    assert shared_folder(local) == shared_folder(local)
+    df = written(spark.range(10), "few")
+    folder = df.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    assert df.count() == 10 and os.path.isdir(folder)
+    drop_written(df)
+    assert not os.path.exists(folder)
+    spark.range(3).write.parquet(str(tmp_path / "mine"))
+    drop_written(spark.read.parquet(str(tmp_path / "mine")))  # not one of ours: stays
+    assert (tmp_path / "mine").exists()

@@ -74,7 +74,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a frame from ``written`` that nothing reads any more."""
     spark = df.sparkSession
+    ours = shared_folder(spark).partition(":")[2].lstrip("/") or shared_folder(spark).lstrip("/")
     for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        if folder.partition(":")[2].lstrip("/").startswith(shared_folder(spark).partition(":")[2].lstrip("/") or shared_folder(spark).lstrip("/")):
+        if folder.partition(":")[2].lstrip("/").startswith(ours + "/"):
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
