@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from watthour.session import shared_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where none is set (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``; where none is set, local sessions get their own and others an error."""
+    return shared_folder(spark)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
