@@ -57,11 +57,10 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, budget, part", [(1, 1 << 20, 8 << 20), (2, 40, 300), (3, 7, 100), (4, 1, 1)])
-def test_equals_a_plain_count(spark, monkeypatch, seed, budget, part):
-    """Small budgets extend prefixes to their whole length; small parts split the texts."""
+@pytest.mark.parametrize("seed, budget", [(1, 1 << 20), (2, 40), (3, 7), (4, 1)])
+def test_equals_a_plain_count(spark, seed, budget):
+    """Small budgets extend prefixes to their whole length."""
     rows = corpus(seed)
-    monkeypatch.setattr(ops._gathered, "__defaults__", (part,))
     want = plain(rows, 50, 4)
     assert len(want) > 50
     assert mined(spark, rows, top=50, least=4, budget=budget) == sorted(want)
@@ -93,3 +92,25 @@ def test_other_columns_do_not_clash(spark):
     docs = spark.createDataFrame([("p q " * 9, "en", 1, "x", 5)], "text string, lang string, id long, word string, n long")
     docs = docs.withColumnRenamed("word", "grp").withColumn("w0", docs.n)
     assert [r.phrase for r in ops.collocations(docs, least=3).collect()] == [p[2] for p in plain([(1, "p q " * 9, "en")], 9, 3)]
+
+
+def test_parts_of_any_size_count_the_same_words(monkeypatch):
+    """In this process, where a small part takes effect."""
+    import pyarrow as pa
+
+    rows = corpus(7)
+    batch = pa.RecordBatch.from_pydict({"lang": [lang or "und" for _, _, lang in rows], "text": [text for _, text, _ in rows]})
+
+    def counts(size):
+        monkeypatch.setattr(ops._gathered, "__defaults__", (size,))
+        out, parts = Counter(), 0
+        for part in ops._count_words(iter([batch.slice(0, 40), batch.slice(40)])):
+            parts += 1
+            for r in part.to_pylist():
+                out[r["id"], r["lang"], r["word"]] += r["n"]
+        return out, parts
+
+    (one, few), (other, many) = counts(8 << 20), counts(100)
+    assert one == other and few == 2 and many > 20
+    words = Counter(w for (_, _, w), n in one.items() for _ in range(n) if w)
+    assert words["the"] > 0 and "The" not in words

@@ -45,10 +45,10 @@ def clustered(seed, n=900, dim=6):
 
 @pytest.mark.parametrize("seed, small", [(1, False), (2, True), (3, True)])
 def test_equals_all_comparisons(spark, monkeypatch, seed, small):
-    """With small blocks there are many tiles, chunks, leaves and batches of anchors."""
+    """With small blocks there are many tiles, chunks and batches of anchors."""
     rows = clustered(seed)
     if small:
-        for name, value in {"LEAF": 5, "BLOCK": 40, "SAMPLE": 200, "ANCHORS": 7}.items():
+        for name, value in {"BLOCK": 40, "SAMPLE": 200, "ANCHORS": 7}.items():
             monkeypatch.setattr(ops, name, value)
     want = plain(rows)
     assert len(want) > 1000
@@ -92,3 +92,25 @@ def test_empty_and_other_columns(spark):
     df = spark.createDataFrame([(i, [1.0, i / 50], i % 2, "x", 1) for i in range(40)], "vec_id long, embedding array<float>, label int, row string, tile int")
     got = ops.hard_negatives(df, F.col("vec_id") % 10 == 0)
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain([(i, [1.0, float(np.float32(i / 50))], i % 2) for i in range(40)])
+
+
+def test_search_of_many_small_leaves_equals_all_comparisons(monkeypatch):
+    """In this process, where a small leaf takes effect: waves of many leaves and rising bounds."""
+    monkeypatch.setattr(ops, "LEAF", 3)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(9, 5))
+    x = np.floor(256 * (centres[rng.integers(0, 9, 500)] + 0.1 * rng.normal(size=(500, 5)))).astype(np.int64)
+    ident, label = rng.permutation(500), rng.integers(0, 3, 500)
+    tree = ops.pack(x, ident, np.arange(500), label)
+    assert len(tree["starts"]) > 100
+    own = np.arange(0, 500, 25)
+    low, high = np.tile([-ops.LARGEST, 20000], (len(own), 1)), np.tile([ops.LARGEST, 90000], (len(own), 1))
+    queries = ops.Queries(own, x[own], label[own], low.copy(), high.copy(), np.full(low.shape, -ops.LARGEST), 4, False)
+    at, q, score, found, _ = ops.search(queries, tree)
+    got = {}
+    for i, w, s, d in zip(at, q, score, found):
+        got.setdefault((int(i), int(w)), []).append((-int(s), int(d)))
+    for i, a in enumerate(own):
+        for w in range(2):
+            every = sorted((-int(s), int(d)) for s, d, y in zip(x @ x[a], ident, label) if y != label[a] and low[i, w] <= s <= high[i, w])
+            assert sorted(got.get((i, w), [])) == every[:4]
