@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +16,9 @@ from watthour.operators.forecast import (
 from watthour.operators.models import predict_horizons
 from watthour.operators.scaling import apply_scaler
 from watthour.plans.training import Fitted
-from watthour.schemas import DRIFT_LOG, TS, VALUE
-from watthour.sources.tables import append, save_predictions
+from watthour.schemas import TS, VALUE
+from watthour.session import drop_written, written
+from watthour.sources.tables import append_drift, save_predictions
 
 
 def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, models: dict,
@@ -31,19 +31,31 @@ def model_forecast(hourly: DataFrame, start: date, end: date, fitted: Fitted, mo
     too short for some feature has a NULL forecast, and ``reason`` names the missing features
     (NULL otherwise).
     """
+    features = model_features(hourly, start, end, fitted, ts, value, keys, scaled, calendar_at)
+    return features, forecast_features(features, fitted, models, keys)
+
+
+def model_features(hourly: DataFrame, start: date, end: date, fitted: Fitted, ts: str = TS, value: str = VALUE,
+                   keys: Sequence[str] = (), scaled: bool = True, calendar_at: str = "noon") -> DataFrame:
+    """The fitted features at each midnight, in their order."""
     raw = midnight_features(hourly, start, end, ts, value, keys, fitted.lag_days, fitted.rolling_days,
                             calendar_at)
-    ids = [*keys, "prediction_date", "anchor_ts"]
-    features = align_columns(raw, fitted.features, ids)
+    features = align_columns(raw, fitted.features, [*keys, "prediction_date", "anchor_ts"])
     if scaled and fitted.params is not None:
         features = apply_scaler(features, fitted.params, fitted.method)
+    return features
+
+
+def forecast_features(features: DataFrame, fitted: Fitted, models: dict, keys: Sequence[str] = ()) -> DataFrame:
+    """Forecast, or the reason why there is none, of each row of features."""
+    ids = [*keys, "prediction_date", "anchor_ts"]
     lacking = F.array_compact(F.array(*[
         F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(c)) for c in fitted.features]))
     reason = F.when(F.size(lacking) > 0, F.concat(F.lit("missing features: "), F.concat_ws(", ", lacking)))
     judged = features.withColumn("reason", reason).fillna(0, subset=list(fitted.features))
     predicted = predict_horizons(judged, fitted.features, models)
     forecast = F.array(*[F.col(f"pred_{h}") for h in sorted(models)])
-    return features, predicted.select(*ids, F.when(F.col("reason").isNull(), forecast).alias("forecast_24h"), "reason")
+    return predicted.select(*ids, F.when(F.col("reason").isNull(), forecast).alias("forecast_24h"), "reason")
 
 
 def prediction_rows(forecasts: DataFrame, model_name: str | Column, features_count: int, at: Column,
@@ -74,14 +86,18 @@ def daily_run(hourly: DataFrame, start: date, end: date, fitted: Fitted, models:
 
     Returns a row for every series and date with history; those without a forecast say why
     in ``reason`` and are not stored.  A date before which no series has a row, a forecast of
-    the wrong length or a key that is taken stops the run.
+    the wrong length or a key that is taken stops the run.  Features and forecasts are computed
+    once and written to the shared folder; the rows returned are read from there.
     """
-    features, forecasts = model_forecast(hourly, start, end, fitted, models, ts, value, keys, calendar_at=calendar_at)
-    forecasts = forecasts.persist(StorageLevel.MEMORY_AND_DISK)  # made once, read by all checks
-    require_history(forecasts, [start + timedelta(days=i) for i in range((end - start).days + 1)])
-    rows = prediction_rows(forecasts, model_name, len(fitted.features), at)
-    save_predictions(rows.where("reason IS NULL").drop("reason"), predictions_path, keys)
-    quick_drift_check(features.drop(*keys), reference, at, drift_path)
+    features = written(model_features(hourly, start, end, fitted, ts, value, keys, calendar_at=calendar_at), "features")
+    try:
+        forecasts = written(forecast_features(features, fitted, models, keys), "forecasts")
+        require_history(forecasts, [start + timedelta(days=i) for i in range((end - start).days + 1)])
+        rows = prediction_rows(forecasts, model_name, len(fitted.features), at)
+        save_predictions(rows.where("reason IS NULL").drop("reason"), predictions_path, keys)
+        quick_drift_check(features.drop(*keys), reference, at, drift_path)
+    finally:
+        drop_written(features)
     return rows
 
 
@@ -104,7 +120,7 @@ def quick_drift_check(features: DataFrame, reference: DataFrame | None, at: Colu
         reference = spark.createDataFrame([], "feature string, mean double, std double")
     scores = detect_drift(features.drop("anchor_ts", "prediction_date"), reference, threshold)
     if drift_path is not None and not missing:
-        append(drift_log_rows(scores, dataset_name, at), drift_path, DRIFT_LOG)
+        append_drift(drift_log_rows(scores, dataset_name, at), drift_path)
     return drift_summary(scores, threshold).withColumns({
         "drift_detection_failed": F.lit(missing),
         "reason": F.lit("no_reference_data" if missing else None).cast("string"),

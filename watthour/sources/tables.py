@@ -1,9 +1,10 @@
 """Parquet tables for predictions, metrics, drift log, profiles and fitted parameters.
 
-Logs and predictions grow in place; predictions are partitioned by date, so a conflict
-check reads only the incoming dates and retention drops whole folders.  The small tables
-that are upserted (profiles, parameters) are written to a new ``version=N`` folder, never
-over the files being read.
+Predictions grow by commits (``sources.commits``) partitioned by date, so a conflict check
+reads only the incoming dates and retention drops whole folders.  The drift log grows in
+place, by day.  The small tables that are upserted (profiles, parameters) are published as a
+new ``version=N`` folder, never over the files being read; a writer that loses the race for
+a number starts again from the winner's version.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.operators.store import conflicts, repeated_keys, select_profile, upsert
-from watthour.schemas import PREDICTION_KEY, PREDICTIONS, REFERENCE_DATA, REFERENCE_KEY, SCALER_PARAMS
+from watthour.schemas import DRIFT_LOG, PREDICTION_KEY, PREDICTIONS, REFERENCE_DATA, REFERENCE_KEY, SCALER_PARAMS
+from watthour.sources.commits import Staged, children, exists, folder, numbers, publish
+
+LOG_DAY = "log_day"
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,27 +38,9 @@ def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[column(f) for f in schema.fields])
 
 
-def _folder(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, where = _folder(spark, path)
-    return files.exists(where)
-
-
 def current_version(spark: SparkSession, path: str) -> int:
     """Newest completely written version, 0 if there is none."""
-    files, where = _folder(spark, path)
-    if not files.exists(where):
-        return 0
-    done = [0]
-    for entry in files.listStatus(where):
-        name = entry.getPath().getName()
-        if name.startswith("version=") and exists(spark, f"{path}/{name}/_SUCCESS"):
-            done.append(int(name.removeprefix("version=")))
-    return max(done)
+    return max(numbers(spark, path, "version="), default=0)
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,9 +51,8 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_version(rows: DataFrame, path: str) -> int:
-    version = current_version(rows.sparkSession, path) + 1
-    rows.write.mode("error").parquet(f"{path}/version={version}")
-    return version
+    """The rows as the next version, whatever others publish meanwhile."""
+    return Staged(rows, path).commit(lambda fresh: None, "version=")
 
 
 def append(rows: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
@@ -77,7 +62,23 @@ def append(rows: DataFrame, path: str, schema: T.StructType, partition_by: Seque
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    # folders named commit=N or by day are columns of the files, not of the table
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def append_drift(rows: DataFrame, path: str) -> None:
+    """Append to the drift log, partitioned by the day of the entry."""
+    log = conform(rows, DRIFT_LOG).withColumn(LOG_DAY, F.to_date("timestamp"))
+    log.write.mode("append").partitionBy(LOG_DAY).parquet(path)
+
+
+def read_drift(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The drift log; ``since`` leaves out the folders of earlier days (entries without a time too)."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], DRIFT_LOG)
+    schema = T.StructType([*DRIFT_LOG.fields, T.StructField(LOG_DAY, T.DateType())])
+    log = spark.read.schema(schema).parquet(path)
+    return (log if since is None else log.where(F.col(LOG_DAY) >= F.lit(since))).select(*DRIFT_LOG.names)
 
 
 def predictions_schema(rows: DataFrame, keys: Sequence[str] = ()) -> T.StructType:
@@ -85,38 +86,62 @@ def predictions_schema(rows: DataFrame, keys: Sequence[str] = ()) -> T.StructTyp
     return T.StructType([*[rows.schema[k] for k in keys], *PREDICTIONS.fields])
 
 
-def save_predictions(rows: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """Append predictions; a key that is taken already, or twice in ``rows``, is an error.
+def save_predictions(rows: DataFrame, path: str, keys: Sequence[str] = ()) -> int:
+    """Commit predictions; a key that is taken already, or twice in ``rows``, is an error.
 
-    Only the partitions of the incoming dates are read, a handful per run.
+    ``rows`` is computed once, by the write.  Only the partitions of its dates are read for the
+    check, and after a lost race only the commits of the others.
     """
+    spark = rows.sparkSession
     schema, key = predictions_schema(rows, keys), [*keys, *PREDICTION_KEY]
-    incoming = conform(rows, schema)
-    dates = [r[0] for r in incoming.select("prediction_date").distinct().collect()]
-    existing = read_table(rows.sparkSession, path, schema).where(F.col("prediction_date").isin(dates))
-    if not repeated_keys(incoming, key).isEmpty() or not conflicts(existing, incoming, key).isEmpty():
-        raise RuntimeError("duplicate prediction: already exists")
-    append(incoming, path, schema, ["prediction_date"])
+    staged = Staged(conform(rows, schema), path, ("prediction_date",))
+    days = [date.fromisoformat(day) for day in staged.partitions("prediction_date")]
+
+    def check(fresh: list[int] | None) -> None:
+        if fresh is None and not repeated_keys(staged.read(), key).isEmpty():
+            raise RuntimeError("duplicate prediction: already exists")
+        stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("commit", T.LongType())])).parquet(path)
+        stored = stored.where(F.col("prediction_date").isin(days))
+        if fresh is not None:
+            stored = stored.where(F.col("commit").isin(fresh))
+        if not conflicts(stored.select(*schema.names), staged.read(), key).isEmpty():
+            raise RuntimeError("duplicate prediction: already exists")
+
+    return staged.commit(check)
 
 
 def delete_old_predictions(spark: SparkSession, path: str, as_of: date, days: int = 90) -> int:
-    """Drop the partitions older than ``days`` and return how many predictions went."""
+    """Drop the partitions older than ``days`` and return how many predictions went.
+
+    A commit left without a partition keeps its folder: its number stays taken.
+    """
     if not exists(spark, path):
         return 0
     cutoff = as_of - timedelta(days=days)
     gone = read_table(spark, path, PREDICTIONS).where(F.col("prediction_date") < F.lit(cutoff)).count()
-    files, where = _folder(spark, path)
-    for entry in files.listStatus(where):
-        name, _, day = entry.getPath().getName().partition("=")
-        if name == "prediction_date" and date.fromisoformat(day) < cutoff:
-            files.delete(entry.getPath(), True)
+    for number in numbers(spark, path):
+        for name in children(spark, f"{path}/commit={number}"):
+            column, _, day = name.partition("=")
+            if column == "prediction_date" and date.fromisoformat(day) < cutoff:
+                files, where = folder(spark, f"{path}/commit={number}/{name}")
+                files.delete(where, True)
     return gone
 
 
 def upsert_table(rows: DataFrame, path: str, schema: T.StructType, key: Sequence[str] = REFERENCE_KEY) -> int:
-    """Replace all rows of the incoming keys; a key may hold many rows (one per feature)."""
-    incoming = conform(rows, schema)
-    return write_version(upsert(read_version(rows.sparkSession, path, schema), incoming, key), path)
+    """Replace all rows of the incoming keys; a key may hold many rows (one per feature).
+
+    If another version appears meanwhile, the upsert is made anew on top of that one.
+    """
+    spark, incoming = rows.sparkSession, conform(rows, schema)
+    while True:
+        parent = current_version(spark, path)
+        merged = Staged(upsert(read_version(spark, path, schema), incoming, key), path)
+        if publish(spark, merged.folder, f"{path}/version={parent + 1}"):
+            return parent + 1
+        merged.discard()
+        if current_version(spark, path) == parent:
+            raise RuntimeError(f"{path}/version={parent + 1} is in the way and no complete version")
 
 
 def save_reference(tables: dict[str, DataFrame], path: str, model_name: str, model_version: str,
