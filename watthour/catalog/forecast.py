@@ -1,15 +1,15 @@
 from pyspark.sql import functions as F
 
 from watthour.catalog.registry import (
-    FIRST_DAY, HISTORY, HOURLY_KEY_SQL, KEY, LAGS, LAST_DAY, ROLLING_SQL, SEASON_FLAGS, WINDOWS, calendar_sql,
-    hourly_by_key, lags_sql, query, tidy, tidy_sql, windows_sql,
+    HISTORY, HOURLY_KEY_SQL, KEY, LAGS, ROLLING_SQL, SEASON_FLAGS, WINDOWS, calendar_sql,
+    hourly_by_key, lags_sql, midnights, query, tidy, tidy_sql, windows_sql,
 )
 from watthour.functions.calendar import TEMPORAL_COLUMNS
 from watthour.operators import forecast as ops
 
 IDS = [KEY, "prediction_date"]
-MIDNIGHTS_SQL = f"""midnights AS (SELECT unnest(generate_series(
-  TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}', INTERVAL 1 DAY)) AS midnight)"""
+MIDNIGHTS_SQL = """midnights AS (SELECT unnest(generate_series(
+    date_trunc('day', min(ts)) + INTERVAL 1 DAY, date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS midnight FROM events)"""
 ANCHORS_SQL = """anchors AS (SELECT event_type, midnight, max(date_time) AS anchor_ts
   FROM hourly JOIN midnights ON date_time < midnight GROUP BY 1, 2)"""
 
@@ -21,7 +21,7 @@ ANCHORS_SQL = """anchors AS (SELECT event_type, midnight, max(date_time) AS anch
   feats AS (SELECT event_type, date_time, {lags_sql()}, {ROLLING_SQL} FROM hourly {windows_sql('event_type')})"""))
 def midnight_features(spark, sf):
     return tidy(ops.midnight_features(
-        hourly_by_key(spark, sf), FIRST_DAY, LAST_DAY, keys=[KEY], lag_days=LAGS, rolling_days=WINDOWS))
+        hourly_by_key(spark, sf), *midnights(spark, sf), keys=[KEY], lag_days=LAGS, rolling_days=WINDOWS))
 
 
 STEPS_SQL = f"""WITH {HOURLY_KEY_SQL}, {MIDNIGHTS_SQL}, {ANCHORS_SQL},
@@ -37,7 +37,7 @@ pairs AS (SELECT s.*, f.ac_power AS y, count(*) OVER (PARTITION BY s.event_type,
 
 def _steps(spark, sf):
     rows = hourly_by_key(spark, sf)
-    return rows, ops.forecast_steps(ops.naive_forecast(rows, FIRST_DAY, LAST_DAY, keys=[KEY]), IDS)
+    return rows, ops.forecast_steps(ops.naive_forecast(rows, *midnights(spark, sf), keys=[KEY]), IDS)
 
 
 @query("naive_forecast", tidy_sql("SELECT * FROM steps", ["y_hat"], ctes=STEPS_SQL))

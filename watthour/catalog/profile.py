@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from watthour.catalog.registry import (
-    DATASET_SQL, HISTORY, HOURLY_KEY_SQL, TARGETS, dataset, hourly_by_key, query, table, tidy, tidy_sql,
+    DATASET_SQL, HOURLY_KEY_SQL, LABELLED_SQL, NUMERIC, RELATIVE, TARGETS, dataset, hourly_by_key, labelled, query,
+    table, tidy, tidy_sql,
 )
 from watthour.operators import profile as ops
 from watthour.operators.correlation import (
@@ -9,15 +10,27 @@ from watthour.operators.correlation import (
 )
 from watthour.operators.explore import gen_weather_join
 
-NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# what is profiled: every numeric and text column of lineitem, and facts of documents with
+# their labels, where NULLs are
+NUMBERS = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+           "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double"}
 TEXTS = ["l_returnflag", "l_linestatus"]
-# squares of prices have no six stable decimals
-DIGITS = {"variance": 0, "std": 4, "mean": 4, "skewness": 5, "kurtosis": 5}
+LABEL_NUMBERS = {"doc_id": "bigint", "n_chars": "bigint", "quality": "int", "toxic": "int"}
+LABEL_TEXTS = ["lang", "source"]
+DIGITS = {"variance": RELATIVE, "std": RELATIVE, "mean": RELATIVE, "skewness": 5, "kurtosis": 5}
 
-LONG_SQL = "long AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, {c} AS value FROM lineitem" for c in NUMBERS) + ")"
-TEXT_SQL = "texts AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, {c} AS value FROM lineitem" for c in TEXTS) + ")"
+
+def rows_sql(**columns) -> str:
+    """(feature, value) rows of the columns of each source."""
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {kind.format(c=c)} AS value FROM {source}"
+                              for source, (names, kind) in columns.items() for c in names)
+
+
+LONG_SQL = f"{LABELLED_SQL}, long AS (" + rows_sql(
+    lineitem=(NUMBERS, "CAST({c} AS DOUBLE)"), labelled=(LABEL_NUMBERS, "CAST({c} AS DOUBLE)")) + ")"
+TEXT_SQL = "texts AS (" + rows_sql(lineitem=(TEXTS, "{c}"), labelled=(LABEL_TEXTS, "{c}")) + ")"
+DTYPE_SQL = "CASE l.feature " + " ".join(
+    f"WHEN '{c}' THEN '{kind}'" for c, kind in {**NUMBERS, **LABEL_NUMBERS}.items()) + " END"
 QUARTILES_SQL = """quartiles AS (SELECT feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
     quantile_cont(value, 0.75) AS q3 FROM long GROUP BY 1)"""
 
@@ -26,22 +39,28 @@ def lineitem(spark, sf):
     return table(spark, sf, "lineitem")
 
 
+def each(spark, sf, operator, names=(NUMBERS, LABEL_NUMBERS)):
+    """The operator over the columns of both tables."""
+    one, two = operator(lineitem(spark, sf), list(names[0])), operator(labelled(spark, sf), list(names[1]))
+    return one.unionByName(two)
+
+
 @query("describe", tidy_sql("""SELECT feature, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std,
     min(value) AS min, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
     quantile_cont(value, 0.75) AS p75, max(value) AS max FROM long GROUP BY 1""",
     ["mean", "std", "min", "p25", "p50", "p75", "max"], DIGITS, f"WITH {LONG_SQL}"))
 def describe(spark, sf):
-    return tidy(ops.describe(lineitem(spark, sf), NUMBERS), DIGITS)
+    return tidy(each(spark, sf, ops.describe), DIGITS)
 
 
-ALL_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *NUMBERS, *TEXTS, "l_shipdate"]
+COLUMNS = {"lineitem": [*NUMBERS, *TEXTS, "l_shipdate"], "labelled": [*LABEL_NUMBERS, *LABEL_TEXTS]}
 
 
-@query("null_counts", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count FROM lineitem"
-    for c in ALL_COLUMNS))
+@query("null_counts", f"WITH {LABELLED_SQL} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count FROM {source}"
+    for source, columns in COLUMNS.items() for c in columns))
 def null_counts(spark, sf):
-    return ops.null_counts(lineitem(spark, sf), ALL_COLUMNS)
+    return each(spark, sf, ops.null_counts, tuple(COLUMNS.values()))
 
 
 def commonest_sql(source: str) -> str:
@@ -51,7 +70,7 @@ def commonest_sql(source: str) -> str:
 
 
 PROFILE_SQL = f"""{LONG_SQL}, {QUARTILES_SQL}, {commonest_sql('long')},
-profile AS (SELECT l.feature, 'double' AS dtype, count(value) AS count,
+profile AS (SELECT l.feature, {DTYPE_SQL} AS dtype, count(value) AS count,
     count(*) - count(value) AS missing_count, 100.0 * (count(*) - count(value)) / count(*) AS missing_percentage,
     count(DISTINCT value) AS unique_values, count(DISTINCT value) <= 1 AS is_constant, any_value(m.mode) AS mode,
     avg(value) AS mean, any_value(q.median) AS median, stddev_samp(value) AS std, var_samp(value) AS variance,
@@ -67,10 +86,10 @@ PROFILE_DOUBLES = ["missing_percentage", "mode", *ops.NUMERIC_FIELDS, "outlier_p
 
 @query("feature_profile", tidy_sql("SELECT * FROM profile", PROFILE_DOUBLES, DIGITS, f"WITH {PROFILE_SQL}"))
 def feature_profile(spark, sf):
-    return tidy(ops.profile_numeric(lineitem(spark, sf), NUMBERS), DIGITS)
+    return tidy(each(spark, sf, ops.profile_numeric), DIGITS)
 
 
-@query("profile_strings", f"""WITH {TEXT_SQL}, {commonest_sql('texts')}
+@query("profile_strings", f"""WITH {LABELLED_SQL}, {TEXT_SQL}, {commonest_sql('texts')}
 SELECT t.feature, 'string' AS dtype, count(value) AS count, count(*) - count(value) AS missing_count,
   100.0 * (count(*) - count(value)) / count(*) AS missing_percentage, count(DISTINCT value) AS unique_values,
   count(DISTINCT value) <= 1 AS is_constant, any_value(m.mode) AS mode,
@@ -78,7 +97,7 @@ SELECT t.feature, 'string' AS dtype, count(value) AS count, count(*) - count(val
   CAST(0 AS BIGINT) AS outlier_count, CAST(0.0 AS DOUBLE) AS outlier_percentage
 FROM texts t JOIN modes m ON m.feature = t.feature GROUP BY 1""")
 def profile_strings(spark, sf):
-    return tidy(ops.profile_strings(lineitem(spark, sf), TEXTS))
+    return tidy(each(spark, sf, ops.profile_strings, (TEXTS, LABEL_TEXTS)))
 
 
 @query("iqr_outliers", tidy_sql("""SELECT l.feature, any_value(q1 - 1.5 * (q3 - q1)) AS lower_bound,
@@ -88,9 +107,10 @@ def profile_strings(spark, sf):
       AS outlier_percentage
   FROM long l JOIN quartiles q ON q.feature = l.feature GROUP BY 1""",
     ["lower_bound", "upper_bound", "outlier_percentage"],
-    ctes=f"""WITH long AS (SELECT 'value' AS feature, value FROM events), {QUARTILES_SQL}"""))
+    ctes=f"""WITH {LONG_SQL.replace("long AS (", "long AS (SELECT 'value' AS feature, value FROM events UNION ALL ")}, {QUARTILES_SQL}"""))
 def iqr_outliers(spark, sf):
-    return tidy(ops.iqr_outliers(table(spark, sf, "events"), ["value"]))
+    events = ops.iqr_outliers(table(spark, sf, "events"), ["value"])
+    return tidy(events.unionByName(each(spark, sf, ops.iqr_outliers)))
 
 
 @query("quality_summary", tidy_sql("""SELECT count(*) AS feature_count,
@@ -103,14 +123,15 @@ def iqr_outliers(spark, sf):
       100.0 * (count(*) - count(value)) / count(*) FROM texts GROUP BY feature) AS p""",
     ["average_missing_percentage"], ctes=f"WITH {PROFILE_SQL}, {TEXT_SQL}"))
 def quality_summary(spark, sf):
-    return tidy(ops.quality_summary(ops.feature_profile(lineitem(spark, sf).select(*NUMBERS, *TEXTS))))
+    profiles = ops.feature_profile(lineitem(spark, sf)).unionByName(ops.feature_profile(labelled(spark, sf)))
+    return tidy(ops.quality_summary(profiles))
 
 
 @query("drift_reference", tidy_sql(
     "SELECT feature, mean, std, min, max, q1, q3, median FROM profile WHERE mean IS NOT NULL",
     list(ops.DRIFT_FIELDS), DIGITS, f"WITH {PROFILE_SQL}"))
 def drift_reference(spark, sf):
-    return tidy(ops.drift_statistics(lineitem(spark, sf), NUMBERS), DIGITS)
+    return tidy(each(spark, sf, ops.drift_statistics), DIGITS)
 
 
 TARGET_SQL = f"WITH {DATASET_SQL}, long AS (" + " UNION ALL ".join(
@@ -133,45 +154,45 @@ def target_stats_by_horizon(spark, sf):
     return tidy(ops.target_stats_by_horizon(dataset(spark, sf), TARGETS))
 
 
-def corr_sql(source: str, rows: str, columns: list[str], pick) -> str:
-    cells = [(a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if pick(i, j)]
-    return " UNION ALL ".join(
-        f"SELECT '{source}' AS source, '{a}' AS feature_1, '{b}' AS feature_2, "
-        f"{f'CASE WHEN count({a}) > 0 THEN CAST(1.0 AS DOUBLE) END' if a == b else f'corr({a}, {b})'} AS correlation FROM {rows}"
-        for a, b in cells)
+def corr_sql(source: str, columns) -> str:
+    """Every cell of the matrix from one pass: NULL where a side does not vary."""
+    def cell(a: str, b: str) -> str:
+        varies = f"min({a}) < max({a}) AND min({b}) < max({b})"
+        r = "CAST(1.0 AS DOUBLE)" if a == b else f"corr({a}, {b})"
+        return f"struct_pack(feature_1 := '{a}', feature_2 := '{b}', correlation := CASE WHEN {varies} THEN {r} END)"
+    cells = ", ".join(cell(a, b) for a in columns for b in columns)
+    return f"SELECT '{source}' AS source, c.* FROM (SELECT unnest([{cells}]) AS c FROM {source})"
 
 
-def matrix_sql(pick) -> str:
-    return corr_sql("lineitem", "lineitem", NUMBERS, pick) + " UNION ALL " + corr_sql("dataset", "dataset", HISTORY, pick)
+CORR_SQL = f"""WITH {DATASET_SQL}, cells AS ({corr_sql('lineitem', NUMBERS)} UNION ALL {corr_sql('dataset', NUMERIC)}),
+named AS (SELECT unnest({[*NUMBERS, *NUMERIC]}) AS feature, unnest(range({len(NUMBERS) + len(NUMERIC)})) AS place)"""
 
 
-@query("corr_matrix", tidy_sql(matrix_sql(lambda i, j: True), ["correlation"], ctes=f"WITH {DATASET_SQL}"))
-def corr_matrix(spark, sf):
-    return tidy(_matrices(spark, sf))
+def _both(spark, sf, operator):
+    """The operator over all numeric columns of lineitem and all numeric features of the dataset."""
+    a = operator(lineitem(spark, sf), list(NUMBERS)).withColumn("source", F.lit("lineitem"))
+    b = operator(dataset(spark, sf), NUMERIC, complete=True).withColumn("source", F.lit("dataset"))
+    return a.unionByName(b)
 
 
-def _matrices(spark, sf):
-    a = correlation_matrix(lineitem(spark, sf), NUMBERS).withColumn("source", F.lit("lineitem"))
-    b = correlation_matrix(dataset(spark, sf), HISTORY, complete=True).withColumn("source", F.lit("dataset"))
-    return a.unionByName(b)
+@query("corr_matrix", tidy_sql("SELECT * FROM cells", ["correlation"], ctes=CORR_SQL))
+def corr_matrix(spark, sf):
+    return tidy(_both(spark, sf, correlation_matrix))
 
 
-@query("corr_high_pairs", tidy_sql(
-    f"SELECT * FROM ({matrix_sql(lambda i, j: i < j)}) AS m WHERE abs(correlation) > 0.8",
-    ["correlation"], ctes=f"WITH {DATASET_SQL}"))
+@query("corr_high_pairs", tidy_sql("""SELECT c.* FROM cells c JOIN named a ON a.feature = feature_1
+    JOIN named b ON b.feature = feature_2 WHERE a.place < b.place AND abs(correlation) > 0.8""",
+    ["correlation"], ctes=CORR_SQL))
 def corr_high_pairs(spark, sf):
-    a = high_pairs(correlation_pairs(lineitem(spark, sf), NUMBERS)).withColumn("source", F.lit("lineitem"))
-    b = high_pairs(correlation_pairs(dataset(spark, sf), HISTORY, complete=True)).withColumn("source", F.lit("dataset"))
-    return tidy(a.unionByName(b))
+    return tidy(_both(spark, sf, lambda *a, **k: high_pairs(correlation_pairs(*a, **k))))
 
 
-@query("corr_summary", tidy_sql(f"""SELECT CAST(10 AS BIGINT) AS numeric_features_count,
+@query("corr_summary", tidy_sql("""SELECT source, count(DISTINCT feature_1) AS numeric_features_count,
     count(*) FILTER (WHERE feature_1 < feature_2 AND abs(correlation) > 0.8) AS high_correlation_count,
-    avg(abs(correlation)) AS average_absolute_correlation
-  FROM ({corr_sql('dataset', 'dataset', HISTORY, lambda i, j: True)}) AS m""",
-    ["average_absolute_correlation"], ctes=f"WITH {DATASET_SQL}"))
+    CASE WHEN count(*) > count(correlation) THEN 0.0 ELSE avg(abs(correlation)) END AS average_absolute_correlation
+  FROM cells GROUP BY 1""", ["average_absolute_correlation"], ctes=CORR_SQL))
 def corr_summary(spark, sf):
-    return tidy(correlation_summary(correlation_matrix(dataset(spark, sf), HISTORY, complete=True)))
+    return tidy(_both(spark, sf, lambda *a, **k: correlation_summary(correlation_matrix(*a, **k))))
 
 
 @query("corr_target", tidy_sql("""SELECT 'irradiation' AS feature, corr(g.ac_power, w.ac_power) AS correlation

@@ -27,7 +27,6 @@ SEASON_FLAGS = [f"season_{s}" for s in SEASONS]
 NUMERIC = HISTORY + list(TEMPORAL_COLUMNS)
 INTEGERS = TEMPORAL_COLUMNS[:8]
 EVENTS_AS_OF, ORDERS_AS_OF = "2024-01-31", "2001-08-01"
-FIRST_DAY, LAST_DAY = date(2024, 1, 16), date(2024, 1, 30)
 CUT = "2024-01-24"
 
 
@@ -83,21 +82,40 @@ def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / 50).alias("drift_score"), (F.col("value") > 100).alias("drift_detected"))
 
 
+def midnights(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last midnight within the events."""
+    day = F.to_date("ts")
+    first, last = table(spark, sf_dir, "events").agg(F.min(F.date_add(day, 1)), F.max(day)).first()
+    return first, last
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of all documents with their labels, which some lack."""
+    facts = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    return facts.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
 def at(moment: str):
     return F.lit(moment).cast("timestamp_ntz")
 
 
-def r(expression: str, digits: int = 6) -> str:
+RELATIVE = None  # ten significant digits in place of a number of decimals
+
+
+def r(expression: str, digits: int | None = 6) -> str:
     """SQL text, for both engines, of a rounded double.
 
     Means of short decimals often end in an exact half, where the engines' last bits
     decide; a nudge far below the last kept digit settles it.  -0.0 becomes 0.0.
     """
+    if digits is RELATIVE:
+        return (f"CASE WHEN {expression} = 0 THEN CAST(0 AS DOUBLE) WHEN {expression} IS NOT NULL "
+                f"THEN CAST(printf('%.9e', {expression} * (1 + 1.23e-13)) AS DOUBLE) END")
     short = f"round({expression} + {1.23 * 10 ** -(digits + 3):.3e}, {digits})"
     return f"CASE WHEN {short} = 0 THEN CAST(0 AS DOUBLE) ELSE {short} END"
 
 
-def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
+def tidy(df: DataFrame, digits: dict[str, int | None] | None = None) -> DataFrame:
     """Round every double, so that both engines print the same number."""
     digits = digits or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -109,12 +127,14 @@ def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
 
 # --- SQL --------------------------------------------------------------------
 
-def tidy_sql(inner: str, doubles: Sequence[str], digits: dict[str, int] | None = None, ctes: str = "") -> str:
+def tidy_sql(inner: str, doubles: Sequence[str], digits: dict[str, int | None] | None = None, ctes: str = "") -> str:
     digits = digits or {}
     swaps = ", ".join(f"{r(c, digits.get(c, 6))} AS {c}" for c in doubles)
     return f"{ctes} SELECT * REPLACE ({swaps}) FROM ({inner}) AS t"
 
 
+LABELLED_SQL = """labelled AS (SELECT d.doc_id, n_chars, lang, source, quality, toxic
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 HOURLY_SQL = """hourly AS (
   SELECT date_trunc('hour', ts) AS date_time, avg(value) AS ac_power FROM events GROUP BY 1)"""
 HOURLY_KEY_SQL = """hourly AS (
