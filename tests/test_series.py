@@ -139,3 +139,22 @@ def test_seconds_keep_fractions(spark):
     df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
     row = df.select(seconds_between(F.col("a"), F.col("b")), whole_days(F.col("a"), F.col("b"))).first()
     assert tuple(row) == (266401.25, 3)
+
+
+def test_an_outlying_year_fills_the_clock_without_a_giant_array(spark):
+    rows = [(datetime(1970, 1, 31, 5), 1.0), (datetime(2004, 2, 29, 23), 2.0), (datetime(2004, 3, 1, 0), 3.0)]
+    df = spark.createDataFrame(rows, "date_time timestamp_ntz, ac_power double")
+    filled = ops.fill_hours(df)
+    hours = int((rows[-1][0] - rows[0][0]).total_seconds() // 3600) + 1
+    seen = filled.agg(F.count("*"), F.count("ac_power"), F.count_distinct("date_time"), F.min("date_time"), F.max("date_time")).first()
+    assert tuple(seen) == (hours, 3, hours, rows[0][0], rows[-1][0])
+    shares = filled.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) > 4
+
+
+def test_each_series_is_filled_within_its_own_span(spark):
+    rows = [("a", datetime(2024, 1, 31, 22), 1.0), ("a", datetime(2024, 2, 1, 1), 2.0), ("b", datetime(2024, 2, 1, 0), None)]
+    df = spark.createDataFrame(rows, "plant string, date_time timestamp_ntz, ac_power double")
+    got = sorted((r["plant"], r["date_time"], r["ac_power"]) for r in ops.fill_hours(df, keys=["plant"]).collect())
+    assert [g[1].hour for g in got] == [22, 23, 0, 1, 0] and [g[2] for g in got] == [1.0, None, None, 2.0, None]
+    assert ops.fill_hours(df.limit(0), keys=["plant"]).count() == 0

@@ -1,13 +1,13 @@
 from pyspark.sql import functions as F
 
 from watthour.catalog.registry import (
-    HISTORY, HOURLY_KEY_SQL, HOURLY_SQL, KEY, LAGS, LEADS_SQL, ROLLING_SQL, TARGETS, WINDOWS, calendar_sql,
+    HISTORY, HOURLY_KEY_SQL, HOURLY_SQL, KEY, LAGS, LEADS_SQL, RELATIVE, ROLLING_SQL, TARGETS, WINDOWS, calendar_sql,
     hourly, hourly_by_key, lags_sql, query, readings, table, tidy, tidy_sql, windows_sql,
 )
 from watthour.functions.calendar import SEASONS, TEMPORAL_COLUMNS, season_flags, season_label
 from watthour.operators import hourly as ops
 from watthour.operators.checks import leakage_report
-from watthour.operators.features import calendar_features, lag_features, lead_targets
+from watthour.operators.features import LAG_DAYS, ROLLING_DAYS, calendar_features, lag_features, lead_targets
 
 LAG_ONLY = [c for c in HISTORY if not c.startswith("rolling")]
 ROLL_ONLY = [c for c in HISTORY if c.startswith("rolling")]
@@ -26,6 +26,42 @@ def lags(spark, sf):
     return tidy(rows.select(KEY, "date_time", *LAG_ONLY))
 
 
+CLOCK_SQL = """span AS (SELECT event_type, min(date_time) AS lo, max(date_time) AS hi FROM hourly GROUP BY 1),
+hours AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS date_time FROM span),
+clock AS (SELECT g.event_type, g.date_time, h.ac_power FROM hours g
+  LEFT JOIN hourly h ON h.event_type = g.event_type AND h.date_time = g.date_time)"""
+
+
+@query("lag_features_by_clock", tidy_sql(
+    f"SELECT event_type, date_time, ac_power, {lags_sql()} FROM clock {windows_sql('event_type')}",
+    ["ac_power", *LAG_ONLY], ctes=f"WITH {HOURLY_KEY_SQL}, {CLOCK_SQL}"))
+def lags_by_clock(spark, sf):
+    """Lags by the clock: hours without readings are rows too."""
+    filled = ops.fill_hours(hourly_by_key(spark, sf), keys=[KEY])
+    rows = lag_features(filled, keys=[KEY], lag_days=LAGS, rolling_days=WINDOWS)
+    return tidy(rows.select(KEY, "date_time", "ac_power", *LAG_ONLY))
+
+
+# orders reach over years: a row a day serves for the default lags and windows of up to 30 days
+LONG_LAGS = [f"ac_power_lag_{d}d" for d in LAG_DAYS]
+LONG_WINDOWS = [f"rolling_{s}_{d}d" for d in ROLLING_DAYS for s in ("mean", "std", "max")]
+LONG_SQL = ", ".join([f"lag(ac_power, {24 * d}) OVER w AS ac_power_lag_{d}d" for d in LAG_DAYS] + [
+    f"CASE WHEN count(ac_power) OVER w{d} >= {12 * d} THEN {f}(ac_power) OVER w{d} END AS rolling_{s}_{d}d"
+    for d in ROLLING_DAYS for s, f in (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"))])
+FRAMES_SQL = "WINDOW w AS (ORDER BY date_time), " + ", ".join(
+    f"w{d} AS (ORDER BY date_time ROWS BETWEEN {24 * d + 23} PRECEDING AND 24 PRECEDING)" for d in ROLLING_DAYS)
+
+
+@query("long_history", tidy_sql(f"SELECT date_time, {LONG_SQL} FROM days {FRAMES_SQL}",
+    [*LONG_LAGS, *LONG_WINDOWS], dict.fromkeys(LONG_WINDOWS, RELATIVE),
+    """WITH days AS (SELECT date_trunc('hour', o_orderdate) AS date_time, avg(o_totalprice) AS ac_power FROM orders GROUP BY 1)"""))
+def long_history(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderdate").alias("date_time"), F.col("o_totalprice").alias("ac_power"))
+    rows = lag_features(ops.hourly_mean(orders))
+    return tidy(rows.select("date_time", *LONG_LAGS, *LONG_WINDOWS), dict.fromkeys(LONG_WINDOWS, RELATIVE))
+
+
 @query("rolling_features", tidy_sql(
     f"SELECT event_type, date_time, {ROLLING_SQL} FROM hourly {windows_sql('event_type')}",
     ROLL_ONLY, ctes=f"WITH {HOURLY_KEY_SQL}"))
@@ -87,12 +123,13 @@ def order(spark, sf):
 SELECT h.event_type, any_value(g.n) AS generation_records, count(*) AS processed_records,
   min(h.date_time) AS "start", max(h.date_time) AS "end",
   CAST(floor((epoch_us(max(h.date_time)) - epoch_us(min(h.date_time))) / 86400e6) AS BIGINT) AS total_days,
-  any_value(g.n) AS weather_records, true AS weather_available
+  count(*) AS weather_records, true AS weather_available
 FROM hourly h JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) AS g ON g.event_type = h.event_type
 GROUP BY 1""")
 def summary(spark, sf):
     rows = readings(spark, sf)
-    return ops.load_summary(rows, hourly_by_key(spark, sf), weather=rows, keys=[KEY])
+    means = hourly_by_key(spark, sf)
+    return ops.load_summary(rows, means, weather=means, keys=[KEY])
 
 
 @query("leakage_report", f"""{STEPS_SQL}

@@ -1,7 +1,9 @@
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from watthour.catalog.registry import (
-    HOURLY_KEY_SQL, KEY, ORDERS_AS_OF, at, hourly_by_key, predictions, query, table, tidy, tidy_sql,
+    HOURLY_KEY_SQL, KEY, ORDERS_AS_OF, RELATIVE, at, hourly_by_key, predictions, query, table, tidy, tidy_sql,
 )
 from watthour.operators import store as ops
 from watthour.operators.forecast import hourly_arrays
@@ -58,10 +60,32 @@ def latest_profile(spark, sf):
 @query("list_profiles", """SELECT o_orderpriority AS model_name, CAST(o_orderkey AS VARCHAR) AS model_version,
   o_orderdate AS "timestamp" FROM orders""")
 def list_profiles(spark, sf):
-    profiles = table(spark, sf, "orders").select(
+    return ops.list_profiles(_profiles(spark, sf))
+
+
+def _profiles(spark, sf):
+    return table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("model_name"), F.col("o_orderkey").cast("string").alias("model_version"),
         F.col("o_orderdate").alias("timestamp"))
-    return ops.list_profiles(profiles)
+
+
+@query("select_profile", """SELECT p.* FROM (SELECT DISTINCT o_orderpriority AS priority FROM orders) AS m,
+  LATERAL (SELECT o_orderpriority AS model_name, CAST(o_orderkey AS VARCHAR) AS model_version, o_orderdate AS "timestamp"
+    FROM orders WHERE o_orderpriority = m.priority ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 1) AS p""")
+def select_profile(spark, sf):
+    """The newest profile of each model, looked up model by model as a reader does."""
+    profiles = _profiles(spark, sf)
+    models = sorted(row[0] for row in profiles.select("model_name").distinct().collect())
+    return reduce(lambda a, b: a.unionByName(b), [ops.select_profile(profiles, m) for m in models])
+
+
+@query("metrics_unpivot", tidy_sql(" UNION ALL ".join(
+    f"SELECT o_orderpriority, '{m}' AS metric_name, CAST({f}(o_totalprice) AS DOUBLE) AS metric_value FROM orders GROUP BY 1"
+    for m, f in (("mean", "avg"), ("top", "max"), ("rows", "count"))), ["metric_value"], {"metric_value": RELATIVE}))
+def metrics_unpivot(spark, sf):
+    wide = table(spark, sf, "orders").groupBy("o_orderpriority").agg(
+        F.avg("o_totalprice").alias("mean"), F.max("o_totalprice").alias("top"), F.count("o_totalprice").alias("rows"))
+    return tidy(ops.metrics_long(wide, ["mean", "top", "rows"], ["o_orderpriority"]), {"metric_value": RELATIVE})
 
 
 @query("keep_latest_n", """SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey, o_orderstatus,

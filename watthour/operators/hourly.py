@@ -44,9 +44,19 @@ def hourly_calendar(df: DataFrame, start: str, steps: int = 24, name: str = TS)
 
 
 def fill_hours(hourly: DataFrame, ts: str = TS, keys: Sequence[str] = ()) -> DataFrame:
-    """Add the missing hours of each series with NULL values: lags go by clock then."""
+    """Add the missing hours of each series with NULL values: lags go by clock then.
+
+    Hours are laid out month by month, and months are dealt out to tasks: no array is longer than
+    a month has hours, or the span has months, and a long or keyless series is made by many tasks.
+    """
+    tasks = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     span = hourly.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    grid = span.select(*keys, F.explode(hour_grid(F.col("_lo"), F.col("_hi"))).alias(ts))
+    month = F.date_trunc("month", "_lo").cast("timestamp_ntz")
+    months = span.select(*keys, "_lo", "_hi", F.explode(
+        F.sequence(month, F.col("_hi"), F.expr("INTERVAL 1 MONTH"))).alias("_month")).repartition(tasks, *keys, "_month")
+    first = F.greatest("_lo", "_month")
+    last = F.least(F.col("_hi"), F.col("_month") + F.expr("INTERVAL 1 MONTH") - F.expr("INTERVAL 1 HOUR"))
+    grid = months.select(*keys, F.explode(hour_grid(first, last)).alias(ts))
     return join_on(grid, hourly, [*keys, ts], "left")
 
 
