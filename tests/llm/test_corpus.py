@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -53,10 +54,19 @@ def test_token_counts(spark):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
     model = Tokenizer(models.Unigram(vocabulary(PIECES), unk_id=0, byte_fallback=True))
-    model.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-    rows = corpus(seed=6) + [(9001, " lead ▁ mark  two\n\n\x1c漢字 <s> <0x41>", *[None] * 6)]
+    model.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    parts = ["<unk>", "<s>", "<", "unk", ">", " ", "  ", "    ", "a", "the", "漢字", "é", "\n", "\t", "▁", " w", "<0x41>", "является"]
+    rng = random.Random(3)
+    mixed = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    more = [" lead ▁ mark  two\n\n\x1c漢字 <s> <0x41>", "    if x:\n        y  ", "漢<unk>", "<unk>漢", "<unk><unk>", "a<unk>b", " ",
+            " " * 5000, "x" * 5000, "漢" * 3000, "a <unk>漢" * 2000, *mixed]
+    rows = corpus(seed=6) + [(9001 + i, text, *[None] * 6) for i, text in enumerate(more)]
     found = {r.doc_id: (r.n_chars, r.n_tokens) for r in token_counts(frame(spark, rows), PIECES).collect()}
     assert found == {r[0]: (len(r[1] or ""), len(model.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows}
+    again = [(None, "two words", *[None] * 6), (None, "two words", *[None] * 6), (7, None, *[None] * 6), (7, "", *[None] * 6)]
+    got = sorted((r.doc_id or 0, r.n_chars, r.n_tokens) for r in token_counts(frame(spark, again), PIECES).collect())
+    assert got[0] == got[1] and got[0][1] == 9 and got[2:] == [(7, 0, 0), (7, 0, 0)]
+    assert token_counts(frame(spark, []), PIECES).count() == 0
 
 
 def test_lm_score(spark):
