@@ -95,3 +95,15 @@ def require_valid(report: DataFrame) -> None:
     bad = report.where(~F.col("overall_valid")).count()
     if bad:
         raise ValueError(f"{bad} series not fit for training; see the report")
+
+
+def rejected_series(report: DataFrame, lag_days: Sequence[int] = LAG_DAYS) -> DataFrame:
+    """The series of a report that are not fit for training, with ``reasons``."""
+    needed = max(lag_days) * DAY
+    reasons = F.array_compact(F.array(
+        F.when(F.coalesce("missing_values", F.lit(0)) > 0, F.format_string("%d missing values", F.col("missing_values").cast("long"))),
+        F.when(~F.col("is_sorted"), F.lit("times not in order")),
+        F.when(F.col("total_records") < needed, F.format_string(f"%d hours, {needed} needed", F.col("total_records").cast("long"))),
+        F.when(~F.col("only_allowed_features"), F.lit("forbidden columns")),
+    ))
+    return report.where(~F.col("overall_valid")).withColumn("reasons", reasons)

@@ -144,6 +144,18 @@ def correlation_summary(matrix: DataFrame, threshold: float = HIGH_CORRELATION)
     )
 
 
+def correlation_report(df: DataFrame, columns: Sequence[str], threshold: float = HIGH_CORRELATION) -> DataFrame:
+    """The summary with a status; below two columns there is no correlation, and a reason."""
+    if len(columns) >= 2:
+        return correlation_summary(correlation_matrix(df, columns), threshold).withColumns({
+            "correlation_computed": F.lit(True), "reason": F.lit(None).cast("string")})
+    return df.sparkSession.range(1).select(
+        F.lit(len(columns)).cast("long").alias("numeric_features_count"),
+        F.lit(None).cast("long").alias("high_correlation_count"),
+        F.lit(None).cast("double").alias("average_absolute_correlation"),
+        F.lit(False).alias("correlation_computed"), F.lit("insufficient_numeric_features").alias("reason"))
+
+
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """r of one column with each of the others."""
     y = nan_to_null(F.col(target).cast("double"))

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from watthour.operators.checks import leakage_report, require_valid
-from watthour.operators.correlation import correlation_matrix, correlation_summary, correlation_pairs, high_pairs
+from watthour.functions.frames import join_on
+from watthour.operators.checks import leakage_report, rejected_series, require_valid
+from watthour.operators.correlation import correlation_pairs, correlation_report, high_pairs
 from watthour.operators.dataset import (
     align_columns, feature_families, feature_names, forecast_dataset, numeric_names,
 )
@@ -19,6 +20,7 @@ from watthour.operators.profile import (
 )
 from watthour.operators.scaling import METHODS, apply_scaler, fit_scaler
 from watthour.schemas import TS, VALUE
+from watthour.session import written
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,7 @@ class Fitted:
     lag_days: tuple[int, ...]
     rolling_days: tuple[int, ...]
     method: str
+    rejected: DataFrame | None = None
 
     @property
     def families(self) -> dict[str, int]:
@@ -39,16 +42,26 @@ class Fitted:
 def fit_dataset(readings: DataFrame, ts: str = TS, value: str = VALUE, keys: Sequence[str] = (),
                 horizon: int = HORIZON, lag_days: Sequence[int] = LAG_DAYS,
                 rolling_days: Sequence[int] = ROLLING_DAYS, method: str = "standard",
-                check: bool = True, fit_rows=None) -> tuple[DataFrame, Fitted]:
+                check: bool = True, fit_rows=None, drop_unfit: bool = False) -> tuple[DataFrame, Fitted]:
     """Hourly means, readiness check, features and targets, scaling.
 
     ``fit_rows`` is a condition that restricts the rows the scaler learns from (the
-    training part); without it all rows are used.
+    training part); without it all rows are used.  A series that fails the readiness check
+    stops the fit; with ``drop_unfit`` it is left out and listed with reasons in ``rejected``,
+    and only a fit without any series left is an error.
     """
     if method not in METHODS:
         raise ValueError(f"unknown scaling method: {method}")
     hourly = hourly_mean(readings, ts, value, keys)
-    if check:
+    rejected = None
+    if check and drop_unfit and keys:
+        # one row per series, read three times
+        report = written(leakage_report(hourly, ts, value, keys, lag_days), "readiness")
+        fit = report.where("overall_valid").select(*keys)
+        if fit.isEmpty():
+            raise ValueError("no series fit for training; see the report")
+        hourly, rejected = join_on(hourly, fit, keys, "left_semi"), rejected_series(report, lag_days)
+    elif check:
         require_valid(leakage_report(hourly, ts, value, keys, lag_days))
     rows = forecast_dataset(hourly, ts, value, keys, horizon, lag_days, rolling_days)
     names = feature_names(rows, ts, keys, target_names(horizon))
@@ -58,7 +71,7 @@ def fit_dataset(readings: DataFrame, ts: str = TS, value: str = VALUE, keys: Seq
         # one row per column, kept as values: later runs must not read the training rows again
         params = rows.sparkSession.createDataFrame(learned.collect(), learned.schema)
         rows = apply_scaler(rows, params, method)
-    return rows, Fitted(params, tuple(names), tuple(lag_days), tuple(rolling_days), method)
+    return rows, Fitted(params, tuple(names), tuple(lag_days), tuple(rolling_days), method, rejected)
 
 
 def transform(readings: DataFrame, fitted: Fitted | None, ts: str = TS, value: str = VALUE,
@@ -78,7 +91,7 @@ def collect_reference(rows: DataFrame, features: Sequence[str], targets: Sequenc
     """The reference profile of training rows, one long table per kind of statistic."""
     x = rows.select(*features)
     numbers = numeric_names(rows, features)
-    profile = feature_profile(x)
+    profile = written(feature_profile(x), "profile")  # a row per feature, read by two tables
     out = {
         "feature_profile": profile,
         "drift_reference": drift_statistics(x),
@@ -88,5 +101,5 @@ def collect_reference(rows: DataFrame, features: Sequence[str], targets: Sequenc
     }
     if len(numbers) >= 2:
         out["correlation_pairs"] = high_pairs(correlation_pairs(x, numbers))
-        out["correlation_summary"] = correlation_summary(correlation_matrix(x, numbers))
+    out["correlation_summary"] = correlation_report(x, numbers)
     return out
