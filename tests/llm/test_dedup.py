@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from llm.llm_frames import corpus, frame, roots, shingles
+from watthour.llm import cover_tree
 from watthour.llm.cover_tree import near_pairs
 from watthour.llm.fingerprints import fingerprints
 from watthour.llm.graph import components
@@ -104,6 +105,56 @@ def test_near_pairs(spark):
     assert near_pairs(df.limit(0)).count() == 0
 
 
+def linked(ids, x):
+    """What near_pairs gives, from all products."""
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    root = roots(range(len(x)), zip(*np.nonzero(near)))
+    least = {}
+    for i, r in root.items():
+        least[r] = min(least.get(r, ids[i]), ids[i])
+    return sorted((ids[i], int(near[i].sum()), least[root[i]]) for i in range(len(x)))
+
+
+@pytest.mark.parametrize("rows", [16, 100])
+def test_near_pairs_over_many_cells_and_blocks(spark, monkeypatch, rows):
+    """Clusters, tight and loose, and random directions of two lengths; several levels above the blocks, hot copies, repeated ids."""
+    monkeypatch.setattr(cover_tree, "block_rows", lambda dim: rows)
+    monkeypatch.setattr(cover_tree, "LARGE", 1)
+    monkeypatch.setattr(cover_tree, "PIVOTS", 6)
+    rng = np.random.default_rng(rows)
+    spread = np.repeat(rng.normal(size=(30, 12)), 20, axis=0) + rng.normal(size=(600, 12)) * rng.choice([0.01, 0.1, 0.3], size=(600, 1))
+    x = np.concatenate([spread, np.repeat(spread[:1], 150, axis=0), rng.normal(size=(150, 12))])
+    y = np.repeat(rng.normal(size=(5, 3)), 30, axis=0) + rng.normal(size=(150, 3)) * 0.1
+    ids = [int(i) for i in rng.permutation(len(x))]
+    more = [i + 10_000 for i in range(len(y))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in [*zip(ids, x), *zip(more, y)]], "vec_id long, embedding array<double>")
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in near_pairs(df).collect())
+    assert found == sorted(linked(ids, x) + linked(more, y))
+    again = near_pairs(df.union(df.where("vec_id < 3"))).where("vec_id < 3").collect()
+    assert len(again) == 6 and {r.vec_id for r in again} == {0, 1, 2}
+
+
+@pytest.mark.parametrize("same", [False, True])
+@pytest.mark.parametrize("tight", [0.02, 0.5])
+def test_blocks_are_compared_whole(same, tight):
+    """Nodes that can't meet are pruned, all links are found, by single and by double precision."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(20, 16))
+    unit = lambda n, scale: (v := base[rng.integers(0, 20, n)] + rng.normal(size=(n, 16)) * scale) / np.linalg.norm(v, axis=1, keepdims=True)
+    x, y = unit(1500, tight), unit(900, tight)
+    (p, la), (q, lb) = cover_tree.build(x, 0.3), cover_tree.build(y, 0.3)
+    x, y = x[p], y[q]
+    if same:
+        y, lb = x, la
+    open_ = cover_tree.dual(la, lb, float(np.sqrt(0.1)))
+    assert tight > 0.1 or len(la) > 2 and open_.mean() < 0.5
+    found = [pair for a, b in cover_tree.hits(x, y, open_, (la[-1][0], lb[-1][0]), 0.95, same) for pair in zip(a.tolist(), b.tolist())]
+    near = np.triu(x @ y.T >= 0.95, 1) if same else x @ y.T >= 0.95
+    assert len(found) == len(set(found)) and set(found) == set(zip(*(v.tolist() for v in np.nonzero(near))))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 50), (100, 101), (7, 7)]
     found = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
