@@ -1,15 +1,18 @@
+import functools
 import math
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
+import sentencepiece
 
 import public_tokenizers as public
 from llm.llm_frames import corpus, frame, words
 from watthour.llm import mixing, packing, sharding
-from watthour.llm.language_id import LONGEST, STRETCH, forward, pieces, predict, train
+from watthour.llm.language_id import forward, predict, train
 from watthour.llm.lm_score import stupid_backoff
 from watthour.llm.token_counts import token_counts, vocabulary
 
@@ -90,22 +93,26 @@ def test_language_forward_and_edges(spark):
         ("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "en"), ("", "de"), ("123 !!", "en"), ("und der hund", None), ("the dog", "de"), ("½ ²", "en")])]
     docs = frame(spark, rows)
     model = train(docs.where("doc_id < 2"), PIECES)
-    known = {v: i for i, v in enumerate(pieces(PIECES).values)}
+    spelled = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [spelled.id_to_piece(i).replace("▁", " ").encode() for i in range(spelled.get_piece_size())
+             if not (spelled.is_control(i) or spelled.is_unknown(i) or spelled.is_byte(i))]
+    known = {v: i for i, v in enumerate(dict.fromkeys([*(bytes([b]) for b in range(256)), *(v for v in texts if b" " not in v[1:])]))}
+    assert len(known) == len(model.probabilities)
 
     def brute(word):
-        total = np.zeros(2)
-        word = b" " + word
-        for at in range(0, len(word), STRETCH):
-            s = word[at:at + STRETCH]
-            alpha = [np.ones(2)] + [np.zeros(2) for _ in s]
-            for end in range(1, len(s) + 1):
-                for size in range(1, min(end, LONGEST) + 1):
-                    if s[end - size:end] in known:
-                        alpha[end] = alpha[end] + alpha[end - size] * model.probabilities[known[s[end - size:end]]]
-            total += np.log(alpha[-1])
-        return total
-
-    tried = [b"hund", b"a" * 100, "漢字".encode(), b"x"]
+        """All segmentations of the whole word, in whole numbers of any size."""
+        word, ways = b" " + word, [[Fraction(1)] * 2]
+        exact = functools.cache(lambda piece: [Fraction(p) for p in model.probabilities[piece]])
+        for end in range(1, len(word) + 1):
+            total = [Fraction(0)] * 2
+            for start in range(end):
+                if (piece := known.get(word[start:end])) is not None:
+                    total = [t + w * p for t, w, p in zip(total, ways[start], exact(piece))]
+            ways.append(total)
+        return [math.log(w.numerator) - math.log(w.denominator) for w in ways[-1]]
+
+    long = max((v for v in texts if v[:1] == b" " and b" " not in v[1:]), key=len).decode().strip()
+    tried = [w.encode() for w in ("hund", "a" * 100, "漢字", "x", long, "не" + long * 4, "漢字の文章" * 9, "donaudampfschifffahrt" * 13, long * 14, "a" * 15, "a" * 16, "a" * 255, "a" * 256)]
     assert np.allclose(forward(model, tried), [brute(w) for w in tried])
     found = {r.doc_id: (r.lang_pred, r.score) for r in predict(docs, model).collect()}
     assert [found[i][0] for i in range(8)] == ["en", "de", "und", "und", "und", "de", "en", "und"]
@@ -113,6 +120,20 @@ def test_language_forward_and_edges(spark):
     assert {r.lang_pred for r in predict(docs, train(docs.limit(0), PIECES)).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_and_counts_repeats_once(spark):
+    rows = [(i, f"{'the cat' if i % 2 else 'der hund'} {chr(97 + i % 26)}{chr(97 + i // 26)}", "en" if i % 2 else "de", *[None] * 5) for i in range(400)]
+    hot = [(None, "the dog", "en", *[None] * 5)] * 300
+    small, again = (train(frame(spark, rows + hot), PIECES, per_language=50) for _ in range(2))
+    assert small.languages == ["de", "en"] and (small.probabilities == again.probabilities).all()
+    whole = train(frame(spark, rows), PIECES, per_language=1000)
+    assert (whole.probabilities == train(frame(spark, rows * 2), PIECES, per_language=1000).probabilities).all()
+    found = {r.doc_id: r.lang_pred for r in predict(frame(spark, rows), small).collect()}
+    assert all(found[r[0]] == r[2] for r in rows)
+    assert predict(frame(spark, []), small).count() == 0
+    tied = predict(frame(spark, [(None, "the the", None, *[None] * 5)] * 2), train(frame(spark, [(1, "the", "b", *[None] * 5), (2, "the", "a", *[None] * 5)]), PIECES))
+    assert [(r.doc_id, r.lang_pred, r.score) for r in tied.collect()] == [(None, "a", 0.5)] * 2
+
+
 def targets(sizes, weights=(5, 2, 1)):
     """Shares by weight; the excess over twice the size is dealt again until none is above."""
     w = dict(zip(sizes, (weights[i % 3] for i in range(len(sizes)))))

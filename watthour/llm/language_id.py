@@ -4,7 +4,8 @@ A fixed public vocabulary gives the pieces.  For each language, piece probabilit
 the vocabulary's own segmentation of training texts, smoothed.  A word is scored by the
 forward algorithm: the sum, over all segmentations into pieces, of the product of their
 probabilities.  A text's score is the product over its words; words are scored once, all
-languages and many words at a time, and remembered.  Words are runs of letters.
+languages and many words at a time, and remembered.  Words are runs of letters; combining marks
+and digits part them, as they do everywhere in training and scoring alike.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from watthour.llm.staging import small_batches, widened
 from watthour.llm.textops import U64, lean, mix, prefix_hash, range_hash, remembered, slices
 
 MARK = "▁"
-LONGEST = 16  # bytes of a piece; longer ones are left out of the vocabulary
-STRETCH = 32  # bytes of a word segmented at once; longer words fall into stretches
+STRETCH = 16  # bytes after which the running sums are rescaled, so that none leaves the range of doubles
+LONG = 256  # bytes of a word from which it is scored alone, byte by byte, not side by side with others
+RANGE = 1 << 40  # of the hashes that choose the sample
 WORDS = re.compile(r"[^\W\d_]+")  # runs of letters: what else a text holds tells no language
 UNKNOWN = "und"
 
@@ -38,6 +40,8 @@ class Pieces:
     slots: np.ndarray  # direct table: top bits of the hash -> piece or -1
     hashes: np.ndarray
     ids: dict[str, int]  # as the vocabulary spells them
+    places: dict[bytes, int]
+    sizes: list[int]  # lengths that pieces have, ascending
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -51,8 +55,8 @@ class Pieces:
                 continue
             piece = model.id_to_piece(i)
             raw = piece.replace(MARK, " ").encode()
-            if len(raw) > LONGEST or b" " in raw[1:]:
-                continue
+            if b" " in raw[1:]:
+                continue  # no word holds a space
             if raw not in known:
                 known[raw] = len(values)
                 values.append(raw)
@@ -64,7 +68,7 @@ class Pieces:
         for i, h in enumerate(hashes):
             row = slots[:, int(h >> U64(44))]
             row[np.flatnonzero(row < 0)[0]] = i
-        return Pieces(values, slots, hashes, ids)
+        return Pieces(values, slots, hashes, ids, known, sorted({len(v) for v in values}))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``h`` that are pieces, and which."""
@@ -98,41 +102,78 @@ class Model:
 
 def forward(model: Model, words: Sequence[bytes]) -> np.ndarray:
     """Log of the summed probability of all segmentations: words x languages."""
-    known = pieces(model.path)
-    parts, owner = [], []
-    for i, word in enumerate(words):
-        word = b" " + word
-        for at in range(0, len(word), STRETCH):
-            parts.append(word[at:at + STRETCH])
-            owner.append(i)
-    lengths = np.array([len(p) for p in parts])
-    order = np.argsort(-lengths, kind="stable")
     out = np.zeros((len(words), len(model.languages)))
+    lengths = np.array([len(w) + 1 for w in words])
+    for i in np.flatnonzero(lengths > LONG):
+        out[i] = _alone(model, b" " + words[i])
+    order = np.argsort(-lengths, kind="stable")
+    order = order[lengths[order] <= LONG]
     for first in range(0, len(order), 8192):
         own = order[first:first + 8192]
-        size = lengths[own]
-        grid = np.frombuffer(b"".join(parts[i].ljust(STRETCH, b"\0") for i in own), dtype=np.uint8)
-        c = prefix_hash(grid)
-        start = np.arange(len(own)) * STRETCH
-        alpha = np.zeros((STRETCH + 1, len(own), len(model.languages)))
-        alpha[0] = 1
-        for end in range(1, int(size[0]) + 1):
-            live = int(np.searchsorted(-size, -end, side="right"))  # words that reach this end
-            for length in range(1, min(end, LONGEST) + 1):
-                h = range_hash(c, start[:live] + end - length, start[:live] + end)
-                hit, piece = known.find(h)
-                alpha[end, hit] += alpha[end - length, hit] * model.probabilities[piece]
-        total = np.log(alpha[size, np.arange(len(own))])
-        np.add.at(out, np.array(owner)[own], total)
+        out[own] = _together(model, [b" " + words[i] for i in own], lengths[own])
     return out
 
 
+def _together(model: Model, words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """The same for words in descending order of length, a stretch of all of them at a time.
+
+    ``alpha`` holds the sums at the ends of a stretch, and before them those of the last
+    ``reach`` places of the stretch before, from which a piece may still start.
+    """
+    known = pieces(model.path)
+    reach = known.sizes[-1]
+    width = reach + STRETCH
+    out = np.zeros((len(words), len(model.languages)))
+    alpha = np.zeros((width, len(words), len(model.languages)))
+    alpha[reach - 1] = 1
+    for at in range(0, int(lengths[0]), STRETCH):
+        n = int(np.searchsorted(-lengths, -at, side="left"))  # words longer than that
+        alpha = alpha[:, :n]
+        grid = b"".join(w[max(at - reach, 0):at + STRETCH].rjust(reach + min(len(w) - at, STRETCH), b"\0").ljust(width, b"\0") for w in words[:n])
+        c = prefix_hash(np.frombuffer(grid, dtype=np.uint8))
+        place = np.arange(n) * width + reach
+        for end in range(1, int(min(lengths[0] - at, STRETCH)) + 1):
+            live = int(np.searchsorted(-lengths[:n], -(at + end), side="right"))  # words that reach this end
+            for size in known.sizes:
+                if size > at + end:
+                    break
+                hit, piece = known.find(range_hash(c, place[:live] + end - size, place[:live] + end))
+                alpha[reach - 1 + end, hit] += alpha[reach - 1 + end - size, hit] * model.probabilities[piece]
+        more = int(np.searchsorted(-lengths[:n], -(at + STRETCH), side="left"))
+        done = np.arange(more, n)
+        out[done] += np.log(alpha[reach - 1 + lengths[done] - at, done])
+        last = alpha[-1, :more]
+        out[:more] += np.log(last)
+        alpha = np.concatenate([alpha[STRETCH:, :more] / last, np.zeros((STRETCH, more, out.shape[1]))])
+    return out
+
+
+def _alone(model: Model, word: bytes) -> np.ndarray:
+    """The same for one word of any length."""
+    known = pieces(model.path)
+    reach, out = known.sizes[-1], np.zeros(len(model.languages))
+    alpha = [np.ones(len(model.languages))]  # the last places
+    for end in range(1, len(word) + 1):
+        total = np.zeros(len(model.languages))
+        for size in known.sizes:
+            if size > end:
+                break
+            piece = known.places.get(word[end - size:end])
+            if piece is not None:
+                total += alpha[-size] * model.probabilities[piece]
+        alpha.append(total)
+        if end % STRETCH == 0:
+            out += np.log(total)
+            alpha = [a / total for a in alpha[-reach:]]
+    return out + np.log(alpha[-1])
+
+
 class Words(dict):
-    """Rows of word scores; starts afresh when full."""
+    """Rows of word scores; starts afresh when full, by number or by characters."""
 
     def __init__(self, model: Model, size: int = 200_000):
         super().__init__()
-        self.model, self.size = model, size
+        self.model, self.size, self.characters = model, size, 0
         self.scores = np.zeros((size, len(model.languages)), dtype=np.float32)
 
     def text_scores(self, texts: list[list[str]]) -> np.ndarray:
@@ -141,13 +182,15 @@ class Words(dict):
         for first in range(0, len(flat), self.size // 2):
             part = flat[first:first + self.size // 2]
             new = [w for w in dict.fromkeys(part) if w not in self]
-            if len(self) + len(new) > self.size:
+            if len(self) + len(new) > self.size or self.characters > 64 * self.size:
                 self.clear()
+                self.characters = 0
                 new = list(dict.fromkeys(part))
             if new:
                 at = len(self)
                 self.scores[at:at + len(new)] = forward(self.model, [w.encode() for w in new])
                 self.update(zip(new, range(at, at + len(new))))
+                self.characters += sum(map(len, new))
             rows = np.fromiter(map(self.__getitem__, part), dtype=np.int64, count=len(part))
             sums = np.zeros((len(part) + 1, out.shape[1]))
             np.cumsum(self.scores[rows], axis=0, out=sums[1:], dtype=np.float64)
@@ -160,17 +203,22 @@ class Words(dict):
 
 def train(docs: DataFrame, path: str, per_language: int = 1000, text_col: str = "text", lang_col: str = "lang",
           id_col: str = "doc_id", smoothing: float = 0.5) -> Model:
-    """Piece probabilities from at most ``per_language`` texts of each label.
+    """Piece probabilities from at most ``per_language`` different texts of each label.
 
-    The sample takes the smallest hashes of the id (ties by hash of the text), so it is the
-    same in every run; rows without label or text are left out.  Only piece counts reach the
-    driver: at most one per label and piece.
+    The sample takes the smallest hashes of id and text, so it is the same in every run; rows
+    without label or text are left out, and repeated rows count once.  A threshold from the
+    number of different rows leaves about twice as many for the ranking, however many there are.
+    Only piece counts reach the driver: at most one per label and piece.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("g"))
-    first = Window.partitionBy("lang").orderBy("h", "g")
-    sample = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("lang", "text")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
+    enough = 2 * per_language
+    bounds = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # one row a label, as in the model
+    below = docs.sparkSession.createDataFrame([(r["lang"], RANGE * enough // max(r["n"], enough)) for r in bounds], "label string, below long")
+    few = rows.join(below, F.col("lang") == F.col("label")).where(F.pmod("h", F.lit(RANGE)) < F.col("below"))
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(RANGE)), "h")
+    sample = few.select("lang", "text", "h").dropDuplicates(["lang", "h"]).withColumn("n", F.row_number().over(first)).where(
+        F.col("n") <= per_language).select("lang", "text")
 
     def count(batches):
         import sentencepiece
