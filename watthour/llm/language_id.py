@@ -215,7 +215,7 @@ def train(docs: DataFrame, path: str, per_language: int = 1000, text_col: str =
     enough = 2 * per_language
     bounds = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # one row a label, as in the model
     below = docs.sparkSession.createDataFrame([(r["lang"], RANGE * enough // max(r["n"], enough)) for r in bounds], "label string, below long")
-    few = rows.join(below, F.col("lang") == F.col("label")).where(F.pmod("h", F.lit(RANGE)) < F.col("below"))
+    few = rows.join(F.broadcast(below), F.col("lang") == F.col("label")).where(F.pmod("h", F.lit(RANGE)) < F.col("below"))
     first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(RANGE)), "h")
     sample = few.select("lang", "text", "h").dropDuplicates(["lang", "h"]).withColumn("n", F.row_number().over(first)).where(
         F.col("n") <= per_language).select("lang", "text")
