@@ -336,7 +336,7 @@ def _upper(points: DataFrame, threshold: float) -> tuple[Upper, DataFrame, list[
     roots = {dim: i for i, dim in enumerate(sorted(counts))}
     tree = Upper({i: dim for dim, i in roots.items()})
     named = spark.createDataFrame(list(roots.items()) or [(-1, -1)], "dim int, cell int")
-    celled = points.join(named, "dim").withColumn("far", F.lit(0.0))
+    celled = points.join(F.broadcast(named), "dim").withColumn("far", F.lit(0.0))  # named: a row for each length
     sizes = [(roots[dim], dim, n) for dim, n in counts.items()]
     levels = 0
     while levels < DEPTH:
@@ -347,7 +347,7 @@ def _upper(points: DataFrame, threshold: float) -> tuple[Upper, DataFrame, list[
         dims = {c: dim for c, dim, _ in sizes}
         cells = spark.createDataFrame([(c, large[c], RANGE * SAMPLE // max(n, SAMPLE)) for c, _, n in sizes if c in large] or [(-1, 0, 0)],
                                       "cell int, k int, below long")
-        sample = celled.select("cell", "node", "unit").join(cells, "cell").where(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(RANGE)) < F.col("below"))
+        sample = celled.select("cell", "node", "unit").join(F.broadcast(cells), "cell").where(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(RANGE)) < F.col("below"))
         for r in sample.groupBy("cell").applyInArrow(_net, "cell int, pivots binary").collect():
             tree.grow(r["cell"], np.frombuffer(r["pivots"], dtype=np.float64).reshape(-1, dims[r["cell"]]))
         celled = stage(celled.mapInArrow(_down(tree), celled.schema), "cells")
@@ -387,7 +387,8 @@ def near_pairs(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id",
     for _ in range(levels):
         met = met.mapInArrow(_meet(tree, threshold), "i int, j int").repartition(partitions(spark))
     blocks = spark.createDataFrame([(c, -(-n // block_rows(d))) for c, d, n in sizes] or [(-1, 0)], "cell int, blocks int")
-    blocked = celled.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))
+    blocked = celled.join(F.broadcast(blocks), "cell").withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))  # blocks: a row for each leaf of the tree, which TREE_BYTES bounds
     trees = stage(blocked.select("dim", "cell", "block", "node", "weight", "unit").groupBy("dim", "cell", "block").applyInArrow(
         _trees(threshold), TREE), "trees")
     met = stage(met, "pairs")
