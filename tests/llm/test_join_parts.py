@@ -1,0 +1,59 @@
+"""The n-gram join works through a bucket in parts: with the same results, and in little memory."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
+from llm.llm_frames import corpus, roots, shingles
+from watthour.llm import ngram_join
+
+
+def rows_of(table):
+    return sorted(map(str, table.to_pylist()))
+
+
+def test_values_are_matched_by_ranges(monkeypatch):
+    texts = [r[1] for r in corpus()] + ["a b c d e f g h i j k l " * 3 + f"extra{i}" for i in range(80)]
+    index = pa.Table.from_batches(ngram_join._index("text", 1)([pa.RecordBatch.from_pydict({"text": t}) for t in (texts[:70], texts[70:])]))
+    whole = ngram_join._match(index)
+    assert whole["mask"].null_count and whole["need_b"].null_count  # pairs, and values in more than COMMON sets
+    monkeypatch.setattr(ngram_join, "MATCHED", 50)
+    assert rows_of(ngram_join._match(index)) == rows_of(whole)
+    lone = index.slice(0, 1).set_column(1, "entries", pa.array([np.uint64([1 << 16]).tobytes()], pa.binary()))
+    assert ngram_join._match(lone).equals(ngram_join.FOUND.empty_table())
+
+
+def test_a_bucket_is_matched_in_little_memory():
+    """Every value is that of two sets, so nothing can be left out."""
+    rng, blobs, sets = np.random.default_rng(1), 128, 500
+    values = rng.integers(0, 1 << 48, 400_000, dtype=np.uint64) << np.uint64(16)
+    owners = rng.integers(0, blobs, (2, len(values)))
+    out = []
+    for k in range(blobs):
+        own = np.concatenate([values[o == k] for o in owners])
+        own = np.sort(own | rng.integers(0, sets, len(own)).astype(np.uint64) << np.uint64(4))
+        out.append((own.tobytes(), rng.integers(-2**63, 2**63, sets).tobytes(), np.full(sets, 300, np.uint32).tobytes(), bytes(2 * sets)))
+    table = pa.table([pa.array(c, pa.binary()) for c in zip(*out)], names=["entries", "nodes", "sizes", "voids"])
+    tracemalloc.start()
+    found = ngram_join._match(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows > 390_000
+    assert peak < 16 * table.nbytes
+
+
+def test_groups_are_verified_some_at_a_time(monkeypatch):
+    texts = list({ngram_join._node(h): t for t in {r[1] for r in corpus(seed=5)}
+                  if len(h := ngram_join.shingles(*ngram_join.joined(pa.array([t])))[0]) >= 4}.items())
+    third = len(texts) // 3
+    groups = [(g, texts[at:at + third]) for g, at in enumerate((0, third, 2 * third))] + [(3, texts)]
+    rows = [{"node": n, "root": g, "i": 0, "j": 0, "text": t} for g, own in groups for n, t in own]
+    table = pa.Table.from_batches(pa.Table.from_pylist(rows[::-1]).to_batches(max_chunksize=7))
+    links = lambda: set(map(tuple, zip(*ngram_join._verify(table).to_pydict().values())))
+    whole = links()
+    monkeypatch.setattr(ngram_join, "VERIFIED", 300)
+    assert links() == whole
+    sets = {n: shingles(t) for n, t in texts}
+    near = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert near and roots(sets, whole) == roots(sets, near)

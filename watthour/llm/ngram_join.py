@@ -22,16 +22,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watthour.llm.graph import components, spanning
 from watthour.llm.staging import partitions, small_batches, stage
-from watthour.llm.textops import U64, blob, joined, lean, mix, remembered, shingles, slices
+from watthour.llm.textops import U64, blob, joined, lean, mix, remembered, shingles, slices, trim
 
 LEVELS = 4  # partitions of the universe tried before empty segments count as values
 COMMON = 64  # a value in more sets than this is common: it is counted, not paired
 BLOCK = 256  # sets of a candidate group compared in one block
+MATCHED = 1 << 18  # index entries of a bucket matched at once
+VERIFIED = 3 << 20  # bytes of text whose groups are verified at once
 SMALL_H = 8  # bands with a smaller distance take one-deletion neighbourhoods
 
 
@@ -207,35 +210,60 @@ FOUND = pa.schema([(n, pa.int64()) for n in ("a", "b", "band", "level", "need_a"
 
 def _match(table: pa.Table) -> pa.Table:
     """Of one bucket: pairs with the number of values they share (need_*: how many they must),
-    and for sets with common values (need_b null) the group's smallest set as ``b``."""
-    parts = [[], [], [], []]
-    for e, n, s, v in zip(*(table.column(c).to_pylist() for c in ("entries", "nodes", "sizes", "voids"))):
-        e = np.frombuffer(e, dtype=U64)
-        at = (e >> U64(4) & U64(0xFFF)).astype(np.int64)
-        role, level = (e >> U64(3) & U64(1)).astype(np.int64), (e & U64(3)).astype(np.int64)
-        # past level 0 what is unusable isn't kept: all may be, so that one shared value is enough
-        void = np.where(level == 0, np.frombuffer(v, dtype=np.uint8).reshape(-1, 2)[at, role].astype(np.int64), 1 << 40)
-        parts[0].append(e & ~U64(0xFFF0))
-        for k, x in enumerate((np.frombuffer(n, dtype=np.int64)[at], np.frombuffer(s, dtype=np.uint32)[at].astype(np.int64), void)):
-            parts[k + 1].append(x)
-    key, node, size, void = (np.concatenate(p) for p in parts)
-    order = np.argsort(key >> U64(16), kind="stable")
-    value = (key >> U64(16))[order]
+    and for sets with common values (need_b null) the group's smallest set as ``b``.
+    Ranges of values are matched one after another, so that few entries are unpacked at once."""
+    entries, nodes, sizes, voids = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t) for c, t in (
+        ("entries", U64), ("nodes", np.int64), ("sizes", np.uint32), ("voids", np.uint8)))
+    many, sets = (pc.binary_length(table.column(c)).to_numpy() // 8 for c in ("entries", "nodes"))
+    base = np.repeat(np.cumsum(sets) - sets, many)  # of each entry's blob
+    order = np.argsort(entries)
+    value = entries[order] >> U64(16)
     same = np.zeros(len(value) + 1, dtype=bool)
     same[1:-1] = value[1:] == value[:-1]
-    order = order[same[1:] | same[:-1]]  # values of one set alone say nothing
-    order = order[np.lexsort((key[order], node[order], key[order] >> U64(16)))]
+    shared = same[1:] | same[:-1]  # values of one set alone say nothing
+    order, value = order[shared], value[shared]
+    cuts = np.unique(np.append(np.searchsorted(value, value[::MATCHED]), len(value)))
+    del value, same, shared
+    parts = []
+    for first, end in zip(cuts, cuts[1:]):
+        e = entries[order[first:end]]
+        at = base[order[first:end]] + (e >> U64(4) & U64(0xFFF)).astype(np.int64)
+        parts.append(_matched(e, nodes[at], sizes[at].astype(np.int64), voids.reshape(-1, 2)[at]))
+    del entries, nodes, sizes, voids, base, order
+    rows = []
+    for kind, names in enumerate(zip(*parts)):
+        keys, found, mask = _merged(*map(np.concatenate, zip(*names)))
+        columns = [pa.array(c) for c in keys.T]
+        if kind:  # without need_b
+            columns = [*columns, pa.nulls(len(keys), pa.int64()), pa.array(found), pa.array(mask)]
+        else:
+            columns = [*columns, pa.array(found), pa.nulls(len(keys), pa.int64())]
+        rows.append(pa.table(columns, schema=FOUND))
+    del parts
+    trim()  # a worker that waits for its next task holds little
+    return pa.concat_tables(rows) if rows else FOUND.empty_table()
+
+
+Counted = tuple[np.ndarray, np.ndarray, np.ndarray]  # rows, how often each was found, united masks
+
+
+def _matched(entries: np.ndarray, node: np.ndarray, size: np.ndarray, voids: np.ndarray) -> tuple[Counted, Counted]:
+    """Of one range of values: pairs (a, b, band, level, need_a, need_b), and stars (a, b, band, level, need_a)."""
+    role, level = (entries >> U64(3) & U64(1)).astype(np.int64), (entries & U64(3)).astype(np.int64)
+    # past level 0 what is unusable isn't kept: all may be, so that one shared value is enough
+    void = np.where(level == 0, voids[np.arange(len(voids)), role].astype(np.int64), 1 << 40)
+    key = entries & ~U64(0xFFF0)
+    order = np.lexsort((key, node, key >> U64(16)))
     key, node, size, void = key[order], node[order], size[order], void[order]
-    if len(key):
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-        key, node, size, void = key[fresh], node[fresh], size[fresh], void[fresh]
+    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+    key, node, size, void = key[fresh], node[fresh], size[fresh], void[fresh]
     value = key >> U64(16)
     role, deleted, level = ((key >> U64(k) & U64(w)).astype(np.int64) for k, w in ((3, 1), (2, 1), (0, 3)))
     edges = bands()[1]
     band = np.searchsorted(edges, size, side="right") - 1 - role
-    start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
     group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(value))))
-    members = np.diff(np.append(start, len(value)))[group] if len(value) else group
+    members = np.diff(np.append(start, len(value)))[group]
     all_bands = bands()[0]
     segments = np.array([b.segments for b in all_bands])
     short = np.array([b.deletions for b in all_bands])
@@ -253,36 +281,29 @@ def _match(table: pa.Table) -> pa.Table:
         spare = segments[band[i]] - np.where(short[band[i]], h // 2, h)
         lost = [np.where(short[band[x]] & (level[x] == 0), np.bitwise_count(void[x]), void[x]) for x in (i, j)]
         out.append(np.stack([node[i], node[j], band[i], level[i], spare - lost[0], spare - lost[1]], axis=1))
-    rows = []
     pairs = np.concatenate(out) if out else np.zeros((0, 6), np.int64)
-    if len(pairs):
-        pairs, count = _counted(pairs)
-        rows.append(pa.table([*(pa.array(c) for c in pairs.T), pa.array(count), pa.nulls(len(count), pa.int64())], schema=FOUND))
+    del out
+    pairs = _merged(pairs, np.ones(len(pairs), np.int64), np.zeros(len(pairs), np.int64))
     i = np.flatnonzero(~few)
-    if len(i):
-        lower = role[i] == 0
-        partner = np.where(lower, size[i] * 5 // 4, edges[band[i] + 1] - 1)
-        h = (size[i] + partner) // 9
-        need = segments[band[i]] - np.where(short[band[i]], h // 2, h)
-        leader = node[start[group[i]]]  # sorted by node within a value
-        seg = np.where(short[band[i]], 1 << (value[i] & U64(7)).astype(np.int64), 0)
-        need -= np.where(short[band[i]], 0, void[i])
-        need -= np.where(short[band[i]] & (level[i] > 0), 1 << 40, 0)
-        known = np.where(short[band[i]] & (level[i] == 0), void[i], 0)
-        star = np.stack([node[i], leader, band[i], level[i], need], axis=1)
-        order = np.lexsort(star.T)
-        star, seg = star[order], seg[order] | known[order]
-        cut = np.flatnonzero(np.concatenate([[True], (star[1:] != star[:-1]).any(axis=1)]))
-        rows.append(pa.table([
-            *(pa.array(c) for c in star[cut].T), pa.nulls(len(cut), pa.int64()),
-            pa.array(np.diff(np.append(cut, len(star)))), pa.array(np.bitwise_or.reduceat(seg, cut))], schema=FOUND))
-    return pa.concat_tables(rows) if rows else FOUND.empty_table()
-
-
-def _counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows = rows[np.lexsort(rows.T)]
-    cut = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
-    return rows[cut], np.diff(np.append(cut, len(rows)))
+    lower = role[i] == 0
+    partner = np.where(lower, size[i] * 5 // 4, edges[band[i] + 1] - 1)
+    h = (size[i] + partner) // 9
+    need = segments[band[i]] - np.where(short[band[i]], h // 2, h)
+    leader = node[start[group[i]]]  # sorted by node within a value
+    seg = np.where(short[band[i]], 1 << (value[i] & U64(7)).astype(np.int64), 0)
+    need -= np.where(short[band[i]], 0, void[i])
+    need -= np.where(short[band[i]] & (level[i] > 0), 1 << 40, 0)
+    known = np.where(short[band[i]] & (level[i] == 0), void[i], 0)
+    star = np.stack([node[i], leader, band[i], level[i], need], axis=1)
+    return pairs, _merged(star, np.ones(len(i), np.int64), seg | known)
+
+
+def _merged(rows: np.ndarray, found: np.ndarray, mask: np.ndarray) -> Counted:
+    """Equal rows put together: their counts added, their masks united."""
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    cut = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])) if len(rows) else order
+    return rows[cut], np.add.reduceat(found[order], cut), np.bitwise_or.reduceat(mask[order], cut)
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -310,23 +331,37 @@ EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _verify(table: pa.Table) -> pa.Table:
+    """Links within the groups (root, i, j) of one bucket, some whole groups at a time."""
     table = table.combine_chunks()
+    node, keys = table.column("node").to_numpy(), np.stack([table.column(c).to_numpy() for c in ("root", "i", "j")], axis=1)
+    order = np.lexsort((node, keys[:, 2], keys[:, 1], keys[:, 0]))
+    keys = keys[order]
+    cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
+    lengths = pc.binary_length(table.column("text")).to_numpy()[order]
+    before = np.concatenate([[0], np.cumsum(lengths)])[cut]  # bytes before each group
+    edges, g = [], 0
+    while g < len(cut) - 1:
+        end = max(g + 1, int(np.searchsorted(before, before[g] + VERIFIED, side="right")) - 1)
+        rows = order[cut[g]:cut[end]]
+        edges += _links(node[rows], table.column("text").take(pa.array(rows)), cut[g:end + 1] - cut[g])
+        g = end
+    edges = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
+    trim()
+    return pa.table([pa.array(edges[:, 0]), pa.array(edges[:, 1])], schema=EDGES)
+
+
+def _links(node: np.ndarray, texts: pa.ChunkedArray, cut: np.ndarray) -> list[np.ndarray]:
+    """Spanning links (member, smallest) of each group; ``cut`` has where they start, and the end."""
     hashes, bounds = [], [0]
-    for batch in table.select(["text"]).to_batches():
+    for batch in pa.table({"text": texts}).to_batches():
         for part in slices(batch, "text"):
             h, b = shingles(*joined(part.column("text")))
             hashes.append(h)
             bounds += list(b[1:] + bounds[-1])
-    hashes, bounds = np.concatenate(hashes), np.array(bounds)
-    node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
-    i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-    order = np.lexsort((node, j, i, root))
-    edges = []
-    keys = np.stack([root, i, j], axis=1)[order]
-    cut = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
+    hashes, edges = np.concatenate(hashes), []
     for start, end in zip(cut, cut[1:]):
         own = {}
-        for r in order[start:end]:
+        for r in range(start, end):
             s = hashes[bounds[r]:bounds[r + 1]]
             if node[r] not in own and _node(s) == node[r]:  # rows may share an id
                 own[node[r]] = s
@@ -337,10 +372,7 @@ def _verify(table: pa.Table) -> pa.Table:
         a, b = np.nonzero(np.triu(100 * inter >= 80 * (size[:, None] + size[None, :] - inter), 1))
         if len(a):
             edges.append(np.stack(spanning(names[a], names[b]), axis=1))
-    if not edges:
-        return EDGES.empty_table()
-    edges = np.concatenate(edges)
-    return pa.table([pa.array(edges[:, 0]), pa.array(edges[:, 1])], schema=EDGES)
+    return edges
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: bool = False) -> DataFrame:
