@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 from watthour.llm.language_id import UNKNOWN, predict, train
 from watthour.llm.mixing import mix, repeat_documents
@@ -53,16 +51,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.withColumn("__nth", nth).where("__nth = 1").select(*names).unionByName(docs.where(~worded))
 
 
-@pandas_udf(StringType())
-def _readable(kept):
-    """Bytes as text; a character that lost some of its bytes goes."""
-    return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
-
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 100-byte strings that start earlier too; every row stays."""
-    rest = remove_repeats(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
-    rest = rest.withColumn("text", _readable("kept"))
+    rest = remove_repeats(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")], as_text=True).withColumnRenamed("kept", "text")
     fresh = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return rest.select(*(fresh.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
 

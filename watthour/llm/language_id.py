@@ -26,6 +26,7 @@ from watthour.llm.textops import U64, lean, mix, prefix_hash, range_hash, rememb
 
 MARK = "▁"
 STRETCH = 16  # bytes after which the running sums are rescaled, so that none leaves the range of doubles
+TOGETHER = 2048  # words scored side by side
 LONG = 256  # bytes of a word from which it is scored alone, byte by byte, not side by side with others
 RANGE = 1 << 40  # of the hashes that choose the sample
 WORDS = re.compile(r"[^\W\d_]+")  # runs of letters: what else a text holds tells no language
@@ -108,8 +109,8 @@ def forward(model: Model, words: Sequence[bytes]) -> np.ndarray:
         out[i] = _alone(model, b" " + words[i])
     order = np.argsort(-lengths, kind="stable")
     order = order[lengths[order] <= LONG]
-    for first in range(0, len(order), 8192):
-        own = order[first:first + 8192]
+    for first in range(0, len(order), TOGETHER):
+        own = order[first:first + TOGETHER]
         out[own] = _together(model, [b" " + words[i] for i in own], lengths[own])
     return out
 

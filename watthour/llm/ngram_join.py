@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from watthour.llm.graph import components, spanning
 from watthour.llm.staging import partitions, small_batches, stage
-from watthour.llm.textops import U64, blob, joined, lean, mix, remembered, shingles, slices, trim
+from watthour.llm.textops import U64, blob, joined, lean, lean_group, mix, remembered, shingles, slices
 
 LEVELS = 4  # partitions of the universe tried before empty segments count as values
 COMMON = 64  # a value in more sets than this is common: it is counted, not paired
@@ -239,8 +239,6 @@ def _match(table: pa.Table) -> pa.Table:
         else:
             columns = [*columns, pa.array(found), pa.nulls(len(keys), pa.int64())]
         rows.append(pa.table(columns, schema=FOUND))
-    del parts
-    trim()  # a worker that waits for its next task holds little
     return pa.concat_tables(rows) if rows else FOUND.empty_table()
 
 
@@ -346,7 +344,6 @@ def _verify(table: pa.Table) -> pa.Table:
         edges += _links(node[rows], table.column("text").take(pa.array(rows)), cut[g:end + 1] - cut[g])
         g = end
     edges = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
-    trim()
     return pa.table([pa.array(edges[:, 0]), pa.array(edges[:, 1])], schema=EDGES)
 
 
@@ -394,7 +391,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     index = docs.select("text").mapInArrow(
         _index("text", buckets), "bucket int, entries binary, nodes binary, sizes binary, voids binary")
     found = stage(index.groupBy("bucket").applyInArrow(
-        _match, ", ".join(f"{f.name} long" for f in FOUND)), "found")
+        lean_group(_match), ", ".join(f"{f.name} long" for f in FOUND)), "found")
     edges = _candidates(found)
     groups = components(edges)
     # every set of a candidate group meets every other in one block pair
@@ -407,8 +404,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.join(asked, docs.doc_id.eqNullSafe(asked.doc_id) & (docs.version == asked.version)).select("node", "root", "blocks", "own", "text")
     meet = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "text")
-    links = meet.groupBy(F.pmod(F.xxhash64("root", "i", "j"), F.lit(buckets)).alias("bucket")).applyInArrow(
-        _verify, "a long, b long")
+    # written before they are contracted, as a stage with two Python steps takes two workers a task
+    links = stage(meet.groupBy(F.pmod(F.xxhash64("root", "i", "j"), F.lit(buckets)).alias("bucket")).applyInArrow(
+        lean_group(_verify), "a long, b long"), "links")
     linked = components(links)
     least = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labels = least.join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")

@@ -25,12 +25,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watthour.llm.staging import partitions, small_batches, stage, widened
-from watthour.llm.textops import U64, blob, lean, mix, prefix_hash, range_hash, remembered, slices, trim
+from watthour.llm.textops import U64, blob, lean, lean_group, mix, prefix_hash, range_hash, remembered, slices, trim
 
 GRAM = 32
 PIECE = 1 << 17  # windows of one text that are parsed together
@@ -267,19 +268,21 @@ def _repeated(table: pa.Table) -> pa.Table:
     """Open windows with an earlier equal one, as runs."""
     remembered("suffixes")
     trim()
-    hashes, places, ids, versions, text = [], [], [], [], []
-    for h, w, i, v in zip(*(table.column(c).to_pylist() for c in ("hashes", "places", "ids", "versions"))):
-        hashes.append(np.frombuffer(h, dtype=U64))
-        places.append(np.frombuffer(w, dtype=U64))
-        text.append(((places[-1] >> U64(2)) & U64(0xFFF)).astype(np.int64) + sum(map(len, ids)))
-        ids.append(np.frombuffer(i, dtype=np.int64))
-        versions.append(np.frombuffer(v, dtype=np.int32))
-    h, w, text, ids, versions = (np.concatenate(x) for x in (hashes, places, text, ids, versions))
+    h, w, ids, versions = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t) for c, t in (
+        ("hashes", U64), ("places", U64), ("ids", np.int64), ("versions", np.int32)))
+    many, texts = (pc.binary_length(table.column(c)).to_numpy() // 8 for c in ("hashes", "ids"))
+    base = np.repeat(np.cumsum(texts) - texts, many)  # of each window's cell
+    order = np.argsort(h)
+    near = np.zeros(len(order) + 1, dtype=bool)
+    near[1:-1] = h[order[1:]] == h[order[:-1]]
+    order = order[near[1:] | near[:-1]]  # windows that occur once are not repeated
+    h, w, base = h[order], w[order], base[order]
+    text = base + (w >> U64(2) & U64(0xFFF)).astype(np.int64)
     p, kind, rank = (w >> U64(14)).astype(np.int64), (w & U64(3)).astype(np.int64), _rank(ids, versions)
     order = np.lexsort((p, rank[text], h))
     again = np.zeros(len(h), dtype=bool)
     # a place may be listed twice: it is repeated only if a smaller place is equal
-    start = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+    start = np.concatenate([[True], h[order][1:] != h[order][:-1]])[:len(order)]
     head = order[np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))]
     again[order] = (p[order] != p[head]) | (rank[text[order]] != rank[text[head]])
     hit = np.flatnonzero(again & (kind == OPEN))
@@ -296,7 +299,7 @@ KEPT = {"doc_id": T.LongType(), "n_bytes": T.LongType(), "n_removed": T.LongType
         "kept_sha256": T.StringType(), "kept": T.BinaryType()}
 
 
-def _remove(length: int):
+def _remove(length: int, as_text: bool):
     def run(batches):
         remembered("suffixes")
         for batch in batches:
@@ -315,21 +318,22 @@ def _remove(length: int):
                         kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
                     else:
                         kept = raw
-                    rows.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
-                columns = [pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string(), pa.binary()])]
+                    rows.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if as_text else kept))
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string(), pa.string() if as_text else pa.binary()])]
                 yield pa.RecordBatch.from_arrays([part.column("carried"), part.column("doc_id"), *columns], names=["carried", *KEPT])
     return lean(run)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts earlier.
 
     (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row; earlier means a
     smaller id, or the same text at a smaller start.  Null and empty texts keep nothing and
     remove nothing.  A null id counts as the smallest (as -2**63, which gives null back).  Rows that share an id are ordered by a
     hash of the text; rows equal in both are one document and get the same result.
-    Of other columns those in ``carry`` come along, in the struct ``carried``.
+    Of other columns those in ``carry`` come along, in the struct ``carried``.  With ``as_text``
+    ``kept`` is a string, and a character that lost some of its bytes goes.
     """
     if not GRAM <= length < GRAM + 256:
         raise ValueError("length must be 32 to 287")
@@ -343,7 +347,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # buckets are dealt out by hand, so that a task never holds several that were put together
     parsed = docs.select(*key, "text").mapInArrow(
         _parse(length, buckets), "bucket int, entries binary, ids binary, versions binary, flags binary")
-    flags = stage(parsed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_settle, FLAGS), "phrases")
+    flags = stage(parsed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lean_group(_settle), FLAGS), "phrases")
 
     def listed(df: DataFrame, packed: str) -> DataFrame:
         return df.select(*key, F.expr(packed).alias("run")).groupBy(*key).agg(F.collect_list("run").alias("runs")).hint("shuffle_hash")
@@ -351,11 +355,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = listed(flags.where(F.col("kind") > SETTLED), "first << 10 | cast(span as long) << 2 | cast(kind as long)")
     compared = docs.join(wanted, key).select("carried", *key, "text", "runs").mapInArrow(
         _windows(length, buckets), "bucket int, hashes binary, places binary, ids binary, versions binary")
-    late = compared.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_repeated, "doc_id long, version int, first long, span long")
+    late = compared.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lean_group(_repeated), "doc_id long, version int, first long, span long")
     runs = flags.where(F.col("kind") == SETTLED).select(*key, "first", F.col("span").cast("long")).unionByName(late)
     gone = listed(runs, "first << 20 | span")
     # both joins take the texts in the same columns and partitions, so that one exchange serves both
-    schema = widened(docs.select("carried"), **KEPT)
-    done = docs.join(gone, key, "left").select("carried", "doc_id", "text", "runs").mapInArrow(_remove(length), schema)
+    schema = widened(docs.select("carried"), **KEPT | ({"kept": T.StringType()} if as_text else {}))
+    done = docs.join(gone, key, "left").select("carried", "doc_id", "text", "runs").mapInArrow(_remove(length, as_text), schema)
     done = done.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
     return done if carry else done.drop("carried")

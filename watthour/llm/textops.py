@@ -163,7 +163,8 @@ def remembered(operator: str) -> dict:
 
 
 def trim() -> None:
-    """Give freed memory back to the system between two kinds of work."""
+    """Give freed memory back to the system between two kinds of work, and the tables of powers, soon made anew."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -179,5 +180,14 @@ def lean(run):
     return out
 
 
+def lean_group(run):
+    """The same function over a group's table; a worker that waits for its next group or task holds little."""
+    def out(table):
+        found = run(table)
+        trim()
+        return found
+    return out
+
+
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
